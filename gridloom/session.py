@@ -44,6 +44,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return own
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores, for costly work on each row; few small files make few."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
