@@ -35,6 +35,11 @@ def great_circle_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
     return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
+def _salts(hot_at: float) -> Column:
+    """Over how many tasks a cell is spread: 1 for a cell that is not hot (n is null)."""
+    return F.when(F.col("n").isNull(), F.lit(1)).otherwise(F.least(F.lit(256), F.ceil(F.col("n") / hot_at) + 1)).cast("int")
+
+
 def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     """(left_id, right_id): ids of located points at most radius_m apart, smaller id first, each pair once.
 
@@ -59,7 +64,7 @@ def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     total = own.count()
     hot_at = max(HOT_POINTS, total * HOT_SHARE)
     hot = own.groupBy(*cells).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_at)
-    salts = F.coalesce(F.least(F.lit(256), F.ceil(F.col("n") / hot_at) + 1), F.lit(1)).cast("int")
+    salts = _salts(hot_at)
     hot = F.broadcast(hot)
     own = own.join(hot, cells, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n")
     visits = visits.join(hot, cells, "left").withColumn("salt", F.pmod(F.xxhash64("left_id"), salts).cast("int")).drop("n", *axes)
@@ -120,7 +125,7 @@ def containing_areas(points: DataFrame, areas: DataFrame) -> DataFrame:
         total = looks.count()
         hot_at = max(HOT_POINTS, total * HOT_SHARE)
         hot = F.broadcast(looks.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_at))
-        salts = F.coalesce(F.least(F.lit(256), F.ceil(F.col("n") / hot_at) + 1), F.lit(1)).cast("int")
+        salts = _salts(hot_at)
         a = looks.join(hot, key, "left").withColumn("salt", F.pmod(F.xxhash64("point_id"), salts).cast("int")).drop("n")
         b = filed.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n")
         met = a.join(b, [*key, "salt"])
