@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["problems"]
+NAMES = ["problems", "graph"]
 
 
 def registered() -> list:
