@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["problems", "graph"]
+NAMES = ["problems", "graph", "staging"]
 
 
 def registered() -> list:
