@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["problems", "graph", "staging"]
+NAMES = ["problems", "graph", "staging", "views"]
 
 
 def registered() -> list:
