@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["problems", "graph", "staging", "views"]
+NAMES = ["problems", "graph", "staging", "views", "register", "flow"]
 
 
 def registered() -> list:
