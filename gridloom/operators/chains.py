@@ -23,8 +23,8 @@ def collapse(terminals: DataFrame, kinds: DataFrame) -> tuple[DataFrame, DataFra
     passed equipment the walk goes on at every other node of it and forks over the equipment there; a node with nothing
     else is a dead end, which ends the walk at the equipment's own far terminal. At a fork where neither side is a Switch
     or Junction and the passed equipment no Fuse, the far terminal is a middle terminal too. Equipment with one terminal
-    only ends a walk without result. A walk never passes the same equipment twice. Of the two walks between two busbars
-    that of the lesser busbar is kept.
+    only ends a walk without result. A walk never passes the same equipment or node twice, so that a ring ends it without
+    result. Of the two walks between two busbars that of the lesser busbar is kept.
 
     Returns connection(connection_id, source_terminal, target_terminal, target_kind), terminal_map(connection_id,
     terminal_id, sequence_number) and segment(connection_id, equipment_id, sequence_number). connection_id is
@@ -40,7 +40,7 @@ def collapse(terminals: DataFrame, kinds: DataFrame) -> tuple[DataFrame, DataFra
 
     empty = F.array().cast("array<string>")
     walk = t.filter("stop = 'busbar' AND n_there > 1").select(
-        F.col("terminal_id").alias("source"), F.col("equipment_id").alias("source_e"), "node_id", F.array("equipment_id").alias("path"), empty.alias("segments"), empty.alias("mids"),
+        F.col("terminal_id").alias("source"), F.col("equipment_id").alias("source_e"), "node_id", F.array("equipment_id").alias("path"), F.array("node_id").alias("nodes"), empty.alias("segments"), empty.alias("mids"),
         F.lit(None).cast("string").alias("fork_t"), F.lit(False).alias("fork_ok"),
     )
     done: list[DataFrame] = []
@@ -58,11 +58,11 @@ def collapse(terminals: DataFrame, kinds: DataFrame) -> tuple[DataFrame, DataFra
         on = on.withColumn("segments", F.when(F.col("n_class") == "ACLineSegment", F.array_append("segments", F.col("n_e"))).otherwise(F.col("segments")))
         on = on.withColumn("mids", F.when(F.coalesce(middle, F.lit(False)), F.array_append("mids", F.col("n_t"))).otherwise(F.col("mids")))
         on = on.withColumn("path", F.array_append("path", F.col("n_e")))
-        on = salted_join(on.drop("node_id", "fork_t", "fork_ok"), out, ["n_e"]).filter(F.col("far_t") != F.col("n_t"))
+        on = salted_join(on.drop("node_id", "fork_t", "fork_ok"), out, ["n_e"]).filter((F.col("far_t") != F.col("n_t")) & ~F.array_contains("nodes", F.col("far_node")))
         on = cut(on)
         done.append(cut(on.filter("n_there = 1").select("source", "source_e", F.col("far_t").alias("target"), F.col("n_e").alias("target_e"), F.lit("dead_end").alias("target_kind"), "path", "segments", "mids")))
         fork = (F.col("n_there") > 2) & ~F.coalesce(F.col("n_class").isin("Switch", "Junction", "Fuse"), F.lit(False))
-        fresh = cut(on.filter("n_there > 1").select("source", "source_e", F.col("far_node").alias("node_id"), "path", "segments", "mids", F.col("far_t").alias("fork_t"), fork.alias("fork_ok")))
+        fresh = cut(on.filter("n_there > 1").select("source", "source_e", F.col("far_node").alias("node_id"), "path", F.array_append("nodes", F.col("far_node")).alias("nodes"), "segments", "mids", F.col("far_t").alias("fork_t"), fork.alias("fork_ok")))
         for old in (walk, at, on):
             drop(old)
         walk = fresh

@@ -25,7 +25,7 @@ def components(edges: DataFrame, a: str, b: str, scope: Sequence[str] = (), one_
     ends = edges.select(*scope, F.col(a).alias("u"), F.col(b).alias("v"))
     nodes = ends.select(*scope, F.col("u").alias("node")).union(ends.select(*scope, F.col("v").alias("node"))).filter(F.col("node").isNotNull()).distinct()
     pairs = cut(ends.filter(F.col("u").isNotNull() & (F.col("u") != F.col("v"))).select(*scope, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    labels = _in_one_task(pairs, scope) if pairs.count() <= one_task else _stars(pairs, scope)
+    labels = _in_one_task(pairs, scope) if pairs.count() <= one_task else _scoped_stars(pairs, scope)
     labels = labels.withColumnsRenamed({k: f"_{k}" for k in [*scope, "node"]})
     same = nodes["node"] == labels["_node"]
     for k in scope:
@@ -61,6 +61,15 @@ def _in_one_task(pairs: DataFrame, scope: list[str]) -> DataFrame:
     return pairs.coalesce(1).mapInArrow(run, schema)
 
 
+def _scoped_stars(pairs: DataFrame, scope: list[str]) -> DataFrame:
+    """_stars over one scope key that is never null, so that it can be joined on."""
+    if not scope:
+        return _stars(pairs, [])
+    kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in scope)
+    found = _stars(pairs.select(F.to_json(F.struct(*scope)).alias("_s"), "u", "v"), ["_s"])
+    return found.select(F.from_json("_s", kinds).alias("_s"), "node", "component").select("_s.*", "node", "component")
+
+
 def _stars(pairs: DataFrame, scope: list[str]) -> DataFrame:
     """Alternating large and small stars (Kiveris et al., Connected components in MapReduce and beyond).
 
@@ -71,7 +80,7 @@ def _stars(pairs: DataFrame, scope: list[str]) -> DataFrame:
     key = [*scope, "u"]
     state = None
     while True:
-        both = pairs.unionByName(pairs.withColumnsRenamed({"u": "v", "v": "u"}))
+        both = pairs.union(pairs.select(*scope, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*key).agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         large = salted_join(both.filter(F.col("v") > F.col("u")), least, key).select(*scope, F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = cut(large)
@@ -115,17 +124,18 @@ def roots(tree: DataFrame, node: str, parent: str) -> DataFrame:
     t = tree.select(F.col(node).alias("node"), F.col(parent).alias("up")).distinct()
     known = t.select(F.col("node").alias("up")).distinct()
     t = t.join(known.withColumn("_known", F.lit(True)), "up", "left").select("node", F.when(F.col("_known"), F.col("up")).otherwise(F.col("node")).alias("up"))
-    now = cut(t.select("node", "up", (F.col("node") != F.col("up")).cast("int").alias("depth")))
-    rounds = 0
+    now = cut(t.select("node", "up", (F.col("node") != F.col("up")).cast("long").alias("depth")))
+    left = None
     while True:
         step = now.filter("depth > 0").select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"))
         after = cut(salted_join(now, step, ["up"], "left").select("node", F.coalesce("up2", "up").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.col("up2").isNotNull().alias("moved")))
-        rounds += 1
-        more = rounds < 40 and not after.filter("moved").isEmpty()
         drop(now)
         now = after
-        if not more:
-            return now.filter(~F.col("moved")).select("node", F.col("up").alias("root"), "depth")
+        # Every round ends some walk of those that end at all; when none ends, what is left are cycles.
+        moved = now.filter("moved").count()
+        if moved in (0, left):
+            return now.filter(~F.col("moved")).select("node", F.col("up").alias("root"), F.col("depth").cast("int").alias("depth"))
+        left = moved
 
 
 def descendants(tree: DataFrame, seeds: DataFrame, node: str, parent: str) -> DataFrame:
