@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import bag
+from helpers import bag
 from pyspark.sql import functions as F
 
 from gridloom.operators import eager, orphans, skew

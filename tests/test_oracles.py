@@ -1,5 +1,5 @@
 import pytest
-from conftest import same_as_sql
+from helpers import same_as_sql
 
 from gridloom.plans import registered
 
