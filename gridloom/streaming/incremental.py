@@ -20,5 +20,5 @@ def import_versions(stream: DataFrame, path: str, checkpoint: str) -> DataStream
 
 def event_counts(stream: DataFrame, at: str, kind: str, late: str = "10 minutes", width: str = "5 minutes") -> DataFrame:
     """(start, kind, n, total): events by window and kind; later than `late` behind the newest they are ignored."""
-    w = stream.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), F.col(kind).alias("kind"))
+    w = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late).groupBy(F.window(at, width).alias("w"), F.col(kind).alias("kind"))
     return w.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "kind", "n", "total")
