@@ -27,8 +27,8 @@ WORD_BUCKETS = 1 << 18
 SAMPLE_PIECES, SAMPLE_PAGES = 40_000, 20_000
 #: Pull of the hosts' spam rate on a page's score, and pages of average kind that each host is credited with.
 PULL, PRIOR_PAGES = 0.05, 20.0
-#: From this share of characters on a page is spam.
-MOSTLY = 0.5
+#: From this share of characters on a page is spam; a page of fewer characters than LEAST_CHARS says nothing either way.
+MOSTLY, LEAST_CHARS = 0.5, 40
 
 WORD = re.compile(r"[^\W\d_]+")
 LINK = re.compile(r"""<a\s[^>]*>|</a>|\[[^\]\n]*\]\((?:https?://|www\.)[^)\s]*\)|(?:https?://|www\.)[^\s<>"')\]]+""")
@@ -235,5 +235,5 @@ def page_scores(pages: DataFrame, host: str = "source") -> DataFrame:
 
 
 def spam_pages(pages: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id of every page that is mostly spam."""
-    return page_scores(pages, host).filter(F.col("smoothed") > MOSTLY).select("doc_id").distinct()
+    """doc_id of every page that is mostly spam; a page of fewer than LEAST_CHARS characters never is."""
+    return page_scores(pages, host).filter((F.col("smoothed") > MOSTLY) & (F.col("n_chars") >= LEAST_CHARS)).select("doc_id").distinct()

@@ -39,7 +39,7 @@ def test_chains_stars_loops_and_odd_names(spark):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_graphs_with_hubs_salted(spark, seed, monkeypatch):
-    monkeypatch.setattr(skew.hot_keys, "__defaults__", (skew.HOT_SHARE, 5))
+    monkeypatch.setattr(skew.hot_keys, "__defaults__", (skew.HOT_KEYS, 5))
     rnd = random.Random(seed)
     names = [f"n{rnd.randint(0, 10**6)}" for _ in range(250)]
     pairs = [(rnd.choice(names), rnd.choice(names)) for _ in range(150)] + [(names[0], rnd.choice(names)) for _ in range(60)]
