@@ -8,25 +8,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A key is hot from this share of all rows on; so there are at most 1 / HOT_SHARE hot keys, whatever the input's size.
-HOT_SHARE = 1 / 500
+#: Keys that are taken for hot at most; every key with more than 1 / HOT_KEYS of all rows is one of them.
+HOT_KEYS = 500
 #: Small inputs need no salting: below this number of rows no key is hot.
 HOT_LEAST_ROWS = 10_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, least: int = HOT_LEAST_ROWS) -> DataFrame:
-    """The keys that hold at least `share` of df's rows and at least `least` rows, with their number of rows (`_n`).
+def hot_keys(df: DataFrame, keys: Sequence[str], most: int = HOT_KEYS, least: int = HOT_LEAST_ROWS) -> DataFrame:
+    """The `most` keys with the most rows, if they have at least `least` rows each, with their number of rows (`_n`).
 
-    Counting is partial on the map side, so a hot key costs one row per task. The result has at most 1/share rows: it may
-    be broadcast at any size of df.
+    Every key that holds more than 1/most of all rows is among them, and there are never more: the result may be broadcast
+    at any size of df. Counting is partial on the map side, so a hot key costs one row per task. Nothing runs before the
+    plan that uses it does.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least)
-    return _over_share(counts, keys, share, df)
-
-
-def _over_share(counts: DataFrame, keys: Sequence[str], share: float, df: DataFrame) -> DataFrame:
-    total = df.count()
-    return counts.filter(F.col("_n") >= total * share).select(*keys, "_n")
+    return counts.orderBy(F.desc("_n"), *keys).limit(most)
 
 
 def salted_join(
