@@ -97,23 +97,24 @@ def _stars(pairs: DataFrame, scope: list[str]) -> DataFrame:
         state = now
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, a: str, b: str, through_all_but: Sequence[str] = ()) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, a: str, b: str, blocked: Sequence[str] = ()) -> DataFrame:
     """(node): every node reached from the seeds (column node) over any number of edges, seeds included.
 
-    A frontier goes one edge further each round; only new nodes are expanded, so the work is one join over the frontier's
-    edges. Nodes in through_all_but are reached but not passed. Null ends lead nowhere; a seed without edges stays.
+    Edges have no direction, so what is reached are the seeds' components; no walk with a job per step is needed. Blocked
+    nodes are reached but not passed, also where they are seeds: they are left out of the components and added where they
+    are next to a node that is reached. Null ends lead nowhere; a seed without edges stays.
     """
-    links = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).union(edges.select(F.col(b).alias("node"), F.col(a).alias("next"))).dropna().distinct()
-    if through_all_but:
-        links = links.filter(~F.col("node").isin(*through_all_but))
-    seen = cut(seeds.select("node").dropna().distinct())
-    frontier = seen
-    while not frontier.isEmpty():
-        fresh = cut(salted_join(links, frontier, ["node"], "left_semi").select(F.col("next").alias("node")).distinct().join(seen, "node", "left_anti"))
-        grown = cut(seen.union(fresh))
-        drop(seen)
-        seen, frontier = grown, fresh
-    return seen
+    seeds = seeds.select("node").dropna().distinct()
+    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).dropna()
+    free = links.filter(~F.col("a").isin(*blocked) & ~F.col("b").isin(*blocked)) if blocked else links
+    of = components(free, "a", "b")
+    hit = salted_join(of, seeds, ["node"], "left_semi").select("component").distinct()
+    reached = salted_join(of, hit, ["component"], "left_semi").select("node").union(seeds)
+    if blocked:
+        next_to = links.filter(F.col("b").isin(*blocked)).select(F.col("a").alias("node"), F.col("b").alias("to")).union(links.filter(F.col("a").isin(*blocked)).select(F.col("b").alias("node"), F.col("a").alias("to"))).distinct()
+        on = reached.filter(~F.col("node").isin(*blocked))
+        reached = reached.union(salted_join(next_to, on.distinct(), ["node"], "left_semi").select("to"))
+    return reached.distinct()
 
 
 def roots(tree: DataFrame, node: str, parent: str) -> DataFrame:
