@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators import chains
 from gridloom.operators import components as comp
+from gridloom.operators import terminals as tm
 from gridloom.operators import topology as top
 from gridloom.plans import fixtures as fx
 
@@ -121,6 +123,35 @@ def _owners(spark: SparkSession, d: str) -> DataFrame:
     return fx.edges(spark, d).join(own, "t2").select("equipment_id", "owner_id")
 
 
+def busbar_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Every fourth part's node is a section of one of ten busbars of its nation."""
+    e, own = fx.edges(spark, d), _owners(spark, d)
+    sections = e.join(own, "equipment_id").filter("part % 4 = 0").select("owner_id", F.concat(F.lit("B-"), (F.col("part") % 10).cast("string")).alias("busbar_id"), F.col("t1").alias("node")).distinct()
+    return tm.busbar_merge(e, sections, own, [])
+
+
+def _collapsed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parts divisible by 3 have a busbar at their node; transformers stop a walk."""
+    e = fx.edges(spark, d)
+    bars = e.filter("part % 3 = 0").select(F.concat(F.lit("BB-"), "t1").alias("equipment_id"), F.col("t1").alias("node_id")).distinct()
+    end = lambda no: e.filter("t2 <> 'GND'").select(F.concat("equipment_id", F.lit(f"#T{no}")).alias("terminal_id"), "equipment_id", F.col(f"t{no}").alias("node_id"))
+    terminals = end(1).union(end(2)).union(bars.select(F.concat("equipment_id", F.lit("#T1")), "equipment_id", "node_id"))
+    kinds = e.select("equipment_id", "class", F.when(F.col("class") == "PowerTransformer", "transformer").alias("stop")).union(bars.select("equipment_id", F.lit("BusbarSection"), F.lit("busbar")))
+    return chains.collapse(terminals, kinds)
+
+
+def collapsed_connections(spark: SparkSession, d: str) -> DataFrame:
+    return _collapsed(spark, d)[0].select("source_terminal", "target_terminal", "target_kind")
+
+
+def collapsed_segments(spark: SparkSession, d: str) -> DataFrame:
+    return _collapsed(spark, d)[2].select(F.substring_index("connection_id", "~", 2).alias("connection"), "equipment_id", "sequence_number")
+
+
+def collapsed_terminals(spark: SparkSession, d: str) -> DataFrame:
+    return _collapsed(spark, d)[1]
+
+
 def topology_mismatch(spark: SparkSession, d: str) -> DataFrame:
     """Groups against supplied topological nodes: the part number in tens."""
     e = fx.edges(spark, d)
@@ -130,7 +161,8 @@ def topology_mismatch(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     circuits, circuit_nodes, circuit_sizes, edge_circuits, electrical_groups, group_sizes, connected_pairs, whatif_circuits, circuit_elements, reachable_nodes,
-    reachable_not_through_ground, descendants, station_owner, station_subgraph, container_counts, geometry_in_box, cable_chains, node_chains, station_islands, topology_mismatch,
+    reachable_not_through_ground, descendants, station_owner, station_subgraph, container_counts, geometry_in_box, cable_chains, node_chains, station_islands, busbar_merge,
+    collapsed_connections, collapsed_segments, collapsed_terminals, topology_mismatch,
 )}
 
 _CONNECTS = "class <> 'PowerTransformer' AND NOT coalesce(is_open, false) AND t2 <> 'GND'"
@@ -151,7 +183,32 @@ links AS (SELECT a, b FROM joint UNION SELECT b, a FROM joint UNION SELECT equip
 {fx.labels('links')},
 chain AS (SELECT node AS equipment_id, 'acline:' || min(node) OVER w || ':' || max(node) OVER w AS chain_id, 'ACLine ' || left(min(node) OVER w, 8) AS chain_name FROM label WINDOW w AS (PARTITION BY root))"""
 
+_COLLAPSED = f"""WITH RECURSIVE {fx.EDGES},
+bar AS (SELECT DISTINCT 'BB-' || t1 AS eq, t1 AS node FROM fx_edge WHERE part % 3 = 0),
+term AS (SELECT equipment_id || '#T1' AS k, equipment_id AS eq, t1 AS node, class, CASE WHEN class = 'PowerTransformer' THEN 'transformer' END AS stop FROM fx_edge WHERE t2 <> 'GND'
+  UNION ALL SELECT equipment_id || '#T2', equipment_id, t2, class, CASE WHEN class = 'PowerTransformer' THEN 'transformer' END FROM fx_edge WHERE t2 <> 'GND'
+  UNION ALL SELECT eq || '#T1', eq, node, 'BusbarSection', 'busbar' FROM bar),
+deg AS (SELECT node, count(DISTINCT eq) AS n FROM term GROUP BY node),
+walk(src, src_eq, node, eqs, nodes, segs, here, stop, done) AS (
+  SELECT t.k, t.eq, t.node, [t.eq], [t.node], CAST([] AS VARCHAR[]), t.k, CAST(NULL AS VARCHAR), false FROM term t JOIN deg USING (node) WHERE t.stop = 'busbar' AND n > 1
+  UNION ALL
+  SELECT w.src, w.src_eq, coalesce(f.node, t.node), list_append(w.eqs, t.eq), CASE WHEN f.node IS NULL THEN w.nodes ELSE list_append(w.nodes, f.node) END,
+    CASE WHEN t.class = 'ACLineSegment' AND t.stop IS NULL THEN list_append(w.segs, t.eq) ELSE w.segs END, coalesce(f.k, t.k), CASE WHEN t.stop IS NOT NULL THEN t.stop WHEN g.n = 1 THEN 'dead_end' END, t.stop IS NOT NULL OR g.n = 1
+  FROM walk w JOIN term t ON t.node = w.node AND NOT list_contains(w.eqs, t.eq)
+  LEFT JOIN term f ON t.stop IS NULL AND f.eq = t.eq AND f.k <> t.k
+  LEFT JOIN deg g ON g.node = f.node
+  WHERE NOT w.done AND (t.stop IS NOT NULL OR (f.k IS NOT NULL AND NOT list_contains(w.nodes, f.node)))),
+con AS (SELECT DISTINCT * FROM walk WHERE done AND (stop <> 'busbar' OR src_eq < list_last(eqs)))"""
+
 ORACLES = {
+    "busbar_merge": f"""WITH RECURSIVE {fx.EDGES},
+own AS (SELECT 'N-' || c_nationkey AS o, e.* FROM fx_edge e JOIN orders ON e.t2 = 'O-' || o_orderkey JOIN customer ON o_custkey = c_custkey),
+links AS (SELECT o || '/' || t1 AS a, o || '/' || t2 AS b FROM own UNION SELECT o || '/' || t2, o || '/' || t1 FROM own), {fx.labels('links')},
+sec AS (SELECT DISTINCT o, 'B-' || (part % 10) AS bb, t1 AS node FROM own WHERE part % 4 = 0),
+split AS (SELECT o, bb, min(s.node) AS merged FROM sec s JOIN label l ON l.node = o || '/' || s.node GROUP BY o, bb HAVING count(DISTINCT root) > 1)
+SELECT s.o AS owner_id, s.node, min(merged) AS merged FROM sec s JOIN split p ON p.o = s.o AND p.bb = s.bb GROUP BY ALL HAVING min(merged) <> s.node""",
+    "collapsed_connections": f"{_COLLAPSED} SELECT src AS source_terminal, here AS target_terminal, stop AS target_kind FROM con",
+    "collapsed_segments": f"{_COLLAPSED} SELECT src || '~' || here AS connection, unnest(segs) AS equipment_id, CAST(unnest(range(1, len(segs) + 1)) AS INT) AS sequence_number FROM con",
     "circuits": f"""{_CIRCUITS},
 per AS (SELECT equipment_id, count(*) AS k FROM touched GROUP BY 1),
 edg AS (SELECT t.circuit_id, count(*) AS n_edges, CAST(sum(CASE WHEN p.k > 1 OR e.t2 = 'GND' THEN 1 ELSE 0 END) AS BIGINT) AS n_boundary FROM touched t JOIN per p USING (equipment_id) JOIN fx_edge e USING (equipment_id) GROUP BY 1)

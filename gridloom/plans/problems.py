@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import delimited, eager, nested, orphans, spatial, widen
 from gridloom.session import table
+from gridloom.sources import documents
 
 #: Distance in metres within which two points are near.
 NEAR_M = 25.0
@@ -59,8 +60,14 @@ def p4_table(kind: str):
 
 
 def p5_counts(spark: SparkSession, d: str) -> DataFrame:
-    """(dimension, key, n_rows, n_objects): for each class and each value the rows and the different objects."""
+    """(dimension, key, n_rows, n_objects): for each class and each value the rows and the different objects.
+
+    Null classes and values are groups; a null version or id is an object's key like any other (the join needs keys that
+    are not null, so ids get a mark in front and a null version stands as the least number).
+    """
     facts = table(spark, d, "staging_records").distinct()
+    key = {"version": F.coalesce("version", F.lit(-(2**63))), "id": F.coalesce(F.concat(F.lit("="), "id"), F.lit(""))}
+    facts = facts.withColumns(key)
     objects = facts.select("version", "id").distinct()
     out = None
     for dimension in ("class", "value"):
@@ -88,7 +95,19 @@ def p7_monthly(spark: SparkSession, d: str) -> DataFrame:
     return every.unionByName(lost).groupBy(*keys).agg(F.sum("n_references").alias("n_references"), F.sum("n_orphans").alias("n_orphans"))
 
 
+def document_facts(spark: SparkSession, d: str) -> DataFrame:
+    """The readable documents of model_file as facts."""
+    good, _ = documents.classify(table(spark, d, "model_file"))
+    return documents.facts(good, 1)
+
+
+def document_errors(spark: SparkSession, d: str) -> DataFrame:
+    return documents.classify(table(spark, d, "model_file"))[1]
+
+
 QUERIES = {
+    "document_facts": document_facts,
+    "document_errors": document_errors,
     "p1_found": p1_found,
     "p1_errors": p1_errors,
     "p1_records_lines": p1_records_lines,
