@@ -33,14 +33,18 @@ def salted_join(
     extra: Column | None = None,
     salts: int = 32,
     hot: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join in which the left rows of hot keys are spread over `salts` tasks.
 
     Left rows with a hot key get a salt from a hash of the whole row; right rows with a hot key are repeated once per salt.
     Right should have few rows per key. how: inner, left, left_semi or left_anti. Null keys match nothing. `extra` may
-    name columns of both sides; the key columns come out once, from the left. With no hot key it is a plain join.
+    name columns of both sides; the key columns come out once, from the left. With no hot key it is a plain join, and it
+    is planned as one if `rows`, an upper bound of left's rows, says that no key can be hot.
     """
     on = list(on)
+    if rows is not None and rows < HOT_LEAST_ROWS and hot is None and extra is None:
+        return left.join(right, on, how)
     hot = hot if hot is not None else hot_keys(left.filter(F.col(on[0]).isNotNull()), on)
     marks = hot.select(*on, F.lit(True).alias("_hot"))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
