@@ -31,10 +31,10 @@ def group_pairs(pairs: DataFrame, left: str, right: str, ignored: tuple[str, ...
 
     edges = cut(edges)
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
-        roots = _stars(_hooks(edges))
+    while n := edges.count():
+        roots = _stars(_hooks(edges), 2 * n)
         rounds.append(roots)
-        renamed = _rename(_rename(edges, roots, "u"), roots, "v").filter(F.col("u") != F.col("v"))
+        renamed = _rename(_rename(edges, roots, "u", n), roots, "v", n).filter(F.col("u") != F.col("v"))
         left_over = cut(renamed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
         drop(edges)
         edges = left_over
@@ -59,12 +59,12 @@ def _hooks(edges: DataFrame) -> DataFrame:
     return chosen.join(mutual, "c", "left").select("c", F.when(F.col("root"), F.col("c")).otherwise(F.col("p")).alias("p"))
 
 
-def _stars(hooks: DataFrame) -> DataFrame:
-    """(c, root) by pointer doubling: p becomes the parent's parent until no pointer moves."""
+def _stars(hooks: DataFrame, rows: int) -> DataFrame:
+    """(c, root) by pointer doubling: p becomes the parent's parent until no pointer moves. rows: as many hooks at most."""
     now = cut(hooks)
     while True:
         parents = now.filter(F.col("c") != F.col("p")).select(F.col("c").alias("p"), F.col("p").alias("g"))  # roots point to themselves
-        after = cut(salted_join(now, parents, ["p"], "left").select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")))
+        after = cut(salted_join(now, parents, ["p"], "left", rows=rows).select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")))
         done = after.filter("moved").isEmpty()
         drop(now)
         now = after
@@ -72,6 +72,6 @@ def _stars(hooks: DataFrame) -> DataFrame:
             return now.select("c", F.col("p").alias("root"))
 
 
-def _rename(edges: DataFrame, roots: DataFrame, end: str) -> DataFrame:
+def _rename(edges: DataFrame, roots: DataFrame, end: str, rows: int) -> DataFrame:
     other = "v" if end == "u" else "u"
-    return salted_join(edges, roots.withColumnRenamed("c", end), [end]).select(F.col("root").alias(end), other)
+    return salted_join(edges, roots.withColumnRenamed("c", end), [end], rows=rows).select(F.col("root").alias(end), other)
