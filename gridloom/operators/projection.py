@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.scalar import attr_text, ext_id, json_text, mapped
 from gridloom.operators.topology import GROUND, TRANSFORMER, first_per_key
+from gridloom.session import cut
 
 #: Control-unit types and the satellite classes they come from.
 UNIT_TYPES = {"AirConditioningUnit": "AIRCONDITION", "Heatpump": "HEATPUMP", "BatteryUnit": "STORAGE"}
@@ -150,7 +151,7 @@ def terminal_feeder_end_extension(m: Model) -> DataFrame:
 
 def _members(m: Model) -> DataFrame:
     """(node_id, terminal_key, ...) of nodes other than GND with at least two terminals."""
-    t = terminal_index(m).filter(F.col("node_id") != GROUND)
+    t = cut(terminal_index(m).filter(F.col("node_id") != GROUND))  # read more than once, here and by the callers
     return t.join(t.groupBy("node_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n >= 2").select("node_id"), "node_id", "left_semi")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.components import components, reachable
+from gridloom.session import cut
 
 GROUND = "GND"
 TRANSFORMER = "PowerTransformer"
@@ -57,8 +58,8 @@ def edge_circuits(edges: DataFrame, circuit_nodes: DataFrame, scope: Sequence[st
 
 def circuit_summary(edges: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """(*scope, circuit_id, n_nodes, n_edges, n_boundary): boundary edges touch another circuit or GND."""
-    nodes = circuits(edges, scope)
-    touched = edge_circuits(edges, nodes, scope)
+    nodes = cut(circuits(edges, scope))
+    touched = cut(edge_circuits(edges, nodes, scope))
     per_edge = touched.groupBy(*scope, "equipment_id").agg(F.count(F.lit(1)).alias("k"))
     ground = edges.select(*scope, "equipment_id", ((F.col("t1") == GROUND) | (F.col("t2") == GROUND)).alias("ground"))
     by_edge = touched.join(per_edge, [*scope, "equipment_id"]).join(ground, [*scope, "equipment_id"]).groupBy(*scope, "circuit_id")
