@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.sql import Column as SqlColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,10 +182,10 @@ def parse_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
     """Every row of `rows` (source_file, line, byte_offset, layout, raw) as one result row, without a shuffle.
 
     ok: the text is exactly one record of its layout, whose `values` are texts that fit their columns (null if empty).
-    Otherwise `message` says why, with the column and the position in the text. A broken text may hold whole records after
-    the broken part (a quote that swallowed the lines after it): they come out in addition, `recovered`, with the line they
-    stand on. A null text, a null layout or an unknown one is an error. Other columns of `rows` are not carried along;
-    rows delivered twice come out twice (records() and errors() remove that).
+    Otherwise `message` says why, with the column and the position in the text. A broken text may hold whole records beside
+    the broken part (a quote that swallowed the lines after it) and further errors behind them: they come out in addition,
+    `recovered`, with the line they stand on. A null text, a null layout or an unknown one is an error. Other columns of
+    `rows` are not carried along; rows delivered twice come out twice (records() and errors() remove that).
     """
     known = grammars(layouts)
 
@@ -206,11 +207,12 @@ def parse_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
                 except Broken as e:
                     broken = e
                 out.append((source, line, offset, layout, False, False, None, broken.column_no, broken.position, broken.message))
-                at = 0
                 for at, values, e in g.text(raw):
-                    if e is None and at > 0:
-                        below = len(re.findall(r"\r\n|\r|\n", raw[:at]))
-                        out.append((source, None if line is None else line + below, None if offset is None else offset + len(raw[:at].encode()), layout, True, True, values, None, None, None))
+                    if e is not None and at == 0:  # the row's own error
+                        continue
+                    below = len(re.findall(r"\r\n|\r|\n", raw[:at]))
+                    place = (source, None if line is None else line + below, None if offset is None else offset + len(raw[:at].encode()), layout)
+                    out.append((*place, True, True, values, None, None, None) if e is None else (*place, False, True, None, e.column_no, e.position, e.message))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _ARROW.types, strict=True)] if out else [pa.array([], t) for t in _ARROW.types], schema=_ARROW)
 
     return rows.select("source_file", "line", "byte_offset", "layout", "raw").mapInArrow(run, PARSED)
@@ -218,15 +220,26 @@ def parse_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
 
 def errors(parsed: DataFrame, version: int | None = None) -> DataFrame:
     """The rows that are not valid, as staging_errors rows, each once however often it was delivered."""
-    where = F.when(F.col("position").isNotNull(), F.concat(F.lit(" at character "), F.col("position"))).otherwise(F.lit(""))
+    return every_error(parsed.filter(~F.col("recovered")), version)
+
+
+def every_error(parsed: DataFrame, version: int | None = None) -> DataFrame:
+    """All located errors as staging_errors rows: those of errors(), and those found in a broken text after a resume.
+
+    The latter have the line they stand on, which may be the number of a row of its own.
+    """
     return (
         parsed.filter(~F.col("ok"))
-        .groupBy("source_file", "line")
-        .agg(F.min("byte_offset").alias("byte_offset"), F.min(F.concat("message", where)).alias("message"))
+        .groupBy("source_file", "line", F.when(F.col("recovered"), F.struct("byte_offset", _reason())).alias("later"))
+        .agg(F.min("byte_offset").alias("byte_offset"), F.min(_reason()).alias("message"))
         .select(F.lit(version).cast("long").alias("version"), "source_file", "line", "byte_offset", "message")
     )
 
 
+def _reason() -> SqlColumn:
+    return F.concat("message", F.when(F.col("position").isNotNull(), F.concat(F.lit(" at character "), F.col("position"))).otherwise(F.lit("")))
+
+
 def records(parsed: DataFrame, layouts: DataFrame, layout: str, recovered: bool = False) -> DataFrame:
     """The valid rows of one layout with typed columns, besides source_file and line, each once.
 
@@ -234,10 +247,24 @@ def records(parsed: DataFrame, layouts: DataFrame, layout: str, recovered: bool
     broken quotes.
     """
     g = grammars(layouts.filter(F.col("layout") == layout))[layout]
-    kinds = {"long": "bigint", "double": "double", "boolean": "boolean", "string": "string"}
     rows = parsed.filter(F.col("ok") & (F.col("layout") == layout))
     if not recovered:
         rows = rows.filter(~F.col("recovered"))
-    rows = rows.select("source_file", "line", "values").distinct()
+    return rows.select("source_file", "line", "values").distinct().select("source_file", "line", *_typed(g))
+
+
+def all_records(parsed: DataFrame, layouts: DataFrame) -> DataFrame:
+    """(source_file, line, layout, recovered, <layout>_record...): the valid rows of every layout and the records recovered
+    from broken texts, each once, in one parse.
+
+    `<layout>_record` is a struct of the layout's typed columns, null in the rows of other layouts.
+    """
+    rows = parsed.filter("ok").select("source_file", "line", "layout", "recovered", "values").distinct()
+    each = (F.when(F.col("layout") == name, F.struct(*_typed(g))).alias(f"{name}_record") for name, g in sorted(grammars(layouts).items()))
+    return rows.select("source_file", "line", "layout", "recovered", *each)
+
+
+def _typed(g: Grammar) -> list[SqlColumn]:
+    kinds = {"long": "bigint", "double": "double", "boolean": "boolean", "string": "string"}
     names = [f"{c.name}_value" if c.name in ("source_file", "line") else c.name for c in g.columns]
-    return rows.select("source_file", "line", *(F.col("values")[i].cast(kinds[c.kind]).alias(n) for i, (c, n) in enumerate(zip(g.columns, names, strict=True))))
+    return [F.col("values")[i].cast(kinds[c.kind]).alias(n) for i, (c, n) in enumerate(zip(g.columns, names, strict=True))]

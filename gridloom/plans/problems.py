@@ -19,8 +19,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_errors(spark: SparkSession, d: str) -> DataFrame:
-    """The invalid rows in the form of staging_errors."""
-    return delimited.errors(delimited.parse_rows(table(spark, d, "raw_rows"), table(spark, d, "raw_layouts")))
+    """The invalid rows and every further error in them in the form of staging_errors."""
+    return delimited.every_error(delimited.parse_rows(table(spark, d, "raw_rows"), table(spark, d, "raw_layouts")))
+
+
+def p1_records(spark: SparkSession, d: str) -> DataFrame:
+    """The valid rows of all layouts, typed, and the records recovered from broken rows."""
+    layouts = table(spark, d, "raw_layouts")
+    return delimited.all_records(delimited.parse_rows(table(spark, d, "raw_rows"), layouts), layouts)
 
 
 def p1_records_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -110,6 +116,7 @@ QUERIES = {
     "document_errors": document_errors,
     "p1_found": p1_found,
     "p1_errors": p1_errors,
+    "p1_records": p1_records,
     "p1_records_lines": p1_records_lines,
     "p2_found": p2_found,
     "p3_found": p3_found,

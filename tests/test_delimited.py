@@ -156,6 +156,30 @@ def test_whole_table_against_the_automaton(spark, small):
     assert found == want and want
 
 
+def test_every_layout_is_loaded(spark, small):
+    from gridloom.plans.problems import QUERIES
+
+    lay = table(spark, small, "raw_layouts")
+    g = d.grammars(lay)
+    got = QUERIES["p1_records"](spark, small).collect()
+    raw = {(r.source_file, r.line, r.layout) for r in table(spark, small, "raw_rows").collect() if plain(r.raw, g[r.layout].columns, g[r.layout].delimiter)}
+    assert {(r.source_file, r.line, r.layout) for r in got if not r.recovered} == raw and {x[2] for x in raw} == set(g)
+    assert len(raw) == sum(not r.recovered for r in got)
+    for r in got:
+        assert [n for n in g if r[f"{n}_record"] is not None] == [r.layout] and len(r[f"{r.layout}_record"]) == len(g[r.layout].columns)
+
+
+def test_recovered_records_and_later_errors(spark):
+    text = '1,"open\n2,good\nrubbish\n3,also'
+    data = [("g", 8, 20, "p", text, None, None)] * 2 + [("g", 20, 90, "p", "4,a\n5,b", None, None)]
+    parsed = d.parse_rows(rows(spark, data), layouts(spark))
+    got = {(r.source_file, r.line, r.recovered, *r.p_record) for r in d.all_records(parsed, layouts(spark)).collect()}
+    assert got == {("g", 9, True, 2, "good"), ("g", 11, True, 3, "also"), ("g", 20, True, 4, "a"), ("g", 21, True, 5, "b")}
+    assert {(r.source_file, r.line) for r in d.errors(parsed).collect()} == {("g", 8), ("g", 20)}
+    every = {(r.line, r.byte_offset): r.message for r in d.every_error(parsed).collect()}
+    assert set(every) == {(8, 20), (10, 35), (20, 90)} and "quote never closed" in every[(8, 20)] and "fields instead of" in every[(10, 35)]
+
+
 def test_broken_layout_is_refused(spark):
     with pytest.raises(ValueError):
         d.grammars(layouts(spark).filter(F.col("column_no") == 2))
