@@ -18,6 +18,8 @@ OBJECT = ["version", "id"]
 FACT = ["version", "id", "profile", "class", "attribute", "value", "is_reference", "seq"]
 #: Relations that describe the grid's wiring and containment, not an object's properties.
 TOPOLOGY_ATTRIBUTES = ("Terminal.ConductingEquipment", "Terminal.ConnectivityNode", "Terminal.TopologicalNode", "Equipment.EquipmentContainer", "ConnectivityNode.ConnectivityNodeContainer")
+#: The reference of a power-electronics unit (PV unit, battery, wallbox) to the connection that it belongs to.
+UNIT_OF = "PowerElectronicsUnit.PowerElectronicsConnection"
 
 
 def distinct_facts(facts: DataFrame) -> DataFrame:
@@ -69,30 +71,32 @@ def switch_states(facts: DataFrame) -> DataFrame:
     return there.groupBy(*OBJECT).agg((F.coalesce(F.lower(state), F.lit("false")) == "true").alias("is_open"))
 
 
-def attribute_walk(facts: DataFrame, owners: DataFrame, skipped_classes: Sequence[str], skipped_attributes: Sequence[str] = TOPOLOGY_ATTRIBUTES, rounds: int = 4) -> DataFrame:
+def attribute_walk(facts: DataFrame, owners: DataFrame, skipped_classes: Sequence[str], skipped_attributes: Sequence[str] = TOPOLOGY_ATTRIBUTES) -> DataFrame:
     """(version, owner_id, id): the objects that an owner's references lead to, in both directions, for satellites.
 
     A walk from each owner (version, id) over references other than the skipped attributes; objects of a skipped class or
-    with a container of their own (other equipment) are neither visited nor passed. They are removed before the join, so
-    that a hub that thousands of objects refer to is never expanded. Ends when no owner sees anything new, or after
-    `rounds` steps.
+    with a container of their own (other equipment) are neither visited nor passed, but for power-electronics units, which
+    have a container and still belong to their connection. They are removed before the join, so that a hub that thousands
+    of objects refer to is never expanded. Ends when no owner sees anything new.
     """
     from gridloom.session import cut, drop
 
     refs = facts.filter(F.col("is_reference") & F.col("value").isNotNull() & ~F.col("attribute").isin(*skipped_attributes)).select("version", F.col("id").alias("a"), F.col("value").alias("b")).distinct()
-    known = facts.groupBy(*OBJECT).agg(object_class().alias("class"), F.max((F.col("attribute") == "Equipment.EquipmentContainer").cast("int")).alias("contained"))
-    allowed = known.filter(~F.col("class").isin(*skipped_classes) & (F.col("contained") == 0)).select("version", F.col("id").alias("to"))
+    has = lambda a, n: F.coalesce(F.max((F.col("attribute") == a).cast("int")), F.lit(0)).alias(n)
+    known = facts.groupBy(*OBJECT).agg(object_class().alias("class"), has("Equipment.EquipmentContainer", "contained"), has(UNIT_OF, "unit"))
+    allowed = known.filter(~F.col("class").isin(*skipped_classes) & ((F.col("contained") == 0) | (F.col("unit") == 1))).select("version", F.col("id").alias("to"))
     links = refs.select("version", F.col("a").alias("at"), F.col("b").alias("to")).union(refs.select("version", F.col("b").alias("at"), F.col("a").alias("to"))).distinct()
     links = cut(links.join(allowed, ["version", "to"], "left_semi"))
     seen = cut(owners.select("version", F.col("id").alias("owner_id"), F.col("id").alias("at")).distinct())
     frontier = seen
-    for _ in range(rounds):
+    while True:
         step = salted_join(frontier, links, ["version", "at"]).select("version", "owner_id", F.col("to").alias("at")).distinct()
         fresh = cut(step.join(seen, ["version", "owner_id", "at"], "left_anti"))
         if fresh.isEmpty():
             break
         grown = cut(seen.union(fresh))
         drop(seen)
+        drop(frontier)
         seen, frontier = grown, fresh
     drop(links)
     return seen.filter(F.col("at") != F.col("owner_id")).select("version", "owner_id", F.col("at").alias("id"))

@@ -62,6 +62,15 @@ def test_walk_keeps_units_apart_and_never_expands_a_hub(spark):
     assert rows[("P1", "Curve.y")] == (2, "5")
 
 
+def test_walk_goes_to_the_end_and_passes_contained_units(spark):
+    chain = [(1, f"s{i}", "EQ", "Part", "Part.Of", f"s{i - 1}" if i else "P", True, 0) for i in range(9)]
+    unit = [*of_class("W", "Wallbox", "H"), (1, "W", "EQ", "Wallbox", "PowerElectronicsUnit.PowerElectronicsConnection", "P", True, 0), (1, "C", "EQ", "Curve", "Curve.Unit", "W", True, 0)]
+    other = [*of_class("E", "EnergyConsumer", "H"), (1, "E", "EQ", "EnergyConsumer", "X.Of", "P", True, 0)]
+    facts = spark.createDataFrame([*of_class("P", "PowerElectronicsConnection", "H"), *chain, *unit, *other], FACT)
+    walk = st.attribute_walk(facts, spark.createDataFrame([(1, "P")], "version long, id string"), ())
+    assert {r.id for r in walk.collect()} == {f"s{i}" for i in range(9)} | {"W", "C"}
+
+
 TERMINAL = "terminal_id string, equipment_id string, node_id string, sequence int"
 
 
