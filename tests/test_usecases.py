@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.usecases import Grid
 
@@ -28,6 +29,12 @@ def test_questions(grid, spark):
     assert n == {"now": 2, "cut": 3}
 
 
+def test_more_than_a_thousand_scenarios(grid, spark):
+    many = spark.range(1005).selectExpr("concat('s', id) AS scenario", "'f1' AS equipment_id", "true AS is_open")
+    got = {r.scenario: r.n for r in grid.what_if(many).groupBy("scenario").agg(F.count("*").alias("n")).collect()}
+    assert got == {f"s{i}": 3 for i in range(1005)}
+
+
 def test_rules(grid):
     got = {(r.object_id, r.rule, r.message) for r in grid.violations().collect()}
     assert got == {
