@@ -13,9 +13,9 @@ def write_facts(facts: DataFrame, path: str, mode: str = "append") -> None:
     facts.sortWithinPartitions("class", "id").write.partitionBy("version").mode(mode).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
+def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace just those partitions of a table that df has rows of (a version, an owner)."""
-    df.write.partitionBy(by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    df.write.partitionBy(*by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def last_per_key(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -10,10 +10,15 @@ from gridloom.sources.sinks import replace_partitions
 
 
 def import_versions(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Write each micro-batch's versions as whole partitions: a batch that is repeated after a failure overwrites itself."""
+    """Write each micro-batch into partitions (version, batch) of its own: a batch that is repeated after a failure
+    overwrites itself, and a version whose facts come in several batches keeps all of them.
 
-    def write(batch: DataFrame, _: int) -> None:
-        replace_partitions(batch.distinct(), path, "version")
+    A fact delivered again in a later batch is stored again; distinct_facts() removes that on reading. Another import needs
+    a path of its own, because its batches are numbered from 0 again.
+    """
+
+    def write(batch: DataFrame, no: int) -> None:
+        replace_partitions(batch.distinct().withColumn("batch", F.lit(no).cast("long")), path, "version", "batch")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

@@ -127,6 +127,17 @@ def test_streams(spark, tmp_path, small):
     assert spark.sql("SELECT sum(n) AS n FROM counted").first().n == events.count()
 
 
+def test_version_in_several_batches(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "version long, id string, profile string, class string, attribute string, value string, is_reference boolean, seq int"
+    for i in "abc":
+        spark.createDataFrame([(1, i, "EQ", "C", "x", "1", False, 0)], schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    incremental.import_versions(stream, out, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert sorted(r.id for r in got.collect()) == ["a", "b", "c"] and got.select("batch").distinct().count() > 1
+
+
 def test_register_errors(spark):
     df = spark.createDataFrame([("a%b", 1), (None, 2), ("AXB", 3)], "t string, n int")
     assert [r.n for r in search(df, "A%B").collect()] == [1] and search(df, "axb").count() == 1
