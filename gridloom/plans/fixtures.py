@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from gridloom.session import table
 
 
-def edges(spark: SparkSession, d: str) -> DataFrame:
-    """(equipment_id, t1, t2, class, is_open): order lines of great quantity as two-terminal equipment."""
-    g = table(spark, d, "lineitem").filter(F.col("l_quantity") >= 49).groupBy("l_orderkey", "l_partkey")
+def edges(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """(equipment_id, t1, t2, class, is_open): order lines of great quantity, or all of them, as two-terminal equipment."""
+    lines = table(spark, d, "lineitem")
+    g = (lines if whole else lines.filter(F.col("l_quantity") >= 49)).groupBy("l_orderkey", "l_partkey")
     g = g.agg(F.max("l_tax").alias("tax"), F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status"))
     kind = F.when(F.col("flag") == "A", "ACLineSegment").when(F.col("flag") == "N", "Switch").otherwise("PowerTransformer")
     order, part = F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")

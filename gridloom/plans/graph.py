@@ -17,6 +17,16 @@ def circuits(spark: SparkSession, d: str) -> DataFrame:
     return top.circuit_summary(fx.edges(spark, d))
 
 
+def circuits_whole(spark: SparkSession, d: str) -> DataFrame:
+    """circuits over all order lines, with a giant component; no SQL."""
+    return top.circuit_summary(fx.edges(spark, d, whole=True))
+
+
+def electrical_groups_whole(spark: SparkSession, d: str) -> DataFrame:
+    """electrical_groups over all order lines; no SQL."""
+    return top.electrical_groups(fx.edges(spark, d, whole=True))
+
+
 def circuit_nodes(spark: SparkSession, d: str) -> DataFrame:
     return top.circuits(fx.edges(spark, d))
 
@@ -160,7 +170,7 @@ def topology_mismatch(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    circuits, circuit_nodes, circuit_sizes, edge_circuits, electrical_groups, group_sizes, connected_pairs, whatif_circuits, circuit_elements, reachable_nodes,
+    circuits, circuits_whole, electrical_groups_whole, circuit_nodes, circuit_sizes, edge_circuits, electrical_groups, group_sizes, connected_pairs, whatif_circuits, circuit_elements, reachable_nodes,
     reachable_not_through_ground, descendants, station_owner, station_subgraph, container_counts, geometry_in_box, cable_chains, node_chains, station_islands, busbar_merge,
     collapsed_connections, collapsed_segments, collapsed_terminals, topology_mismatch,
 )}

@@ -90,3 +90,40 @@ def test_islands_of_a_station(spark):
     e = spark.createDataFrame([("1", "A", "B", "Fuse", False), ("2", "C", "D", "Fuse", False), ("3", "D", "GND", "Fuse", False), ("4", "Q", "R", "Fuse", False)], EDGE)
     owners = spark.createDataFrame([(i, "S1") for i in "123"] + [("4", "S2")], "equipment_id string, owner_id string")
     assert [tuple(r) for r in t.islands(e, owners).collect()] == [("S1", "C", 2)]
+
+
+def test_circuits_and_groups_of_all_order_lines(spark, small):
+    from gridloom.plans import fixtures as fx
+    from gridloom.plans.graph import QUERIES
+
+    edges = fx.edges(spark, small, whole=True).collect()
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    assert len(edges) == lines.select("l_orderkey", "l_partkey").distinct().count()
+
+    def least(links):
+        root = {n: n for e in edges for n in (e.t1, e.t2)}
+
+        def find(n):
+            while root[n] != n:
+                n = root[n]
+            return n
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return {n: find(n) for n in root}
+
+    closed = least([(e.t1, e.t2) for e in edges if e.is_open is False])
+    assert {r.node: r.group_id for r in QUERIES["electrical_groups_whole"](spark, small).collect()} == closed
+    of = least([(e.t1, e.t2) for e in edges if e["class"] != "PowerTransformer" and e.is_open is not True and e.t2 != "GND"])
+    of.pop("GND")
+    want = {c: [0, 0, 0] for c in of.values()}
+    for c in of.values():
+        want[c][0] += 1
+    for e in edges:
+        touched = {of[n] for n in (e.t1, e.t2) if n != "GND"}
+        for c in touched:
+            want[c][1] += 1
+            want[c][2] += len(touched) > 1 or e.t2 == "GND"
+    got = {r.circuit_id: [r.n_nodes, r.n_edges, r.n_boundary] for r in QUERIES["circuits_whole"](spark, small).collect()}
+    assert got == want and max(n for n, _, _ in want.values()) > 100
