@@ -60,3 +60,34 @@ def test_weak_labels_are_stable(spark, small):
     rows = queries.p10_scores(spark, small).collect()
     assert len(rows) == table(spark, small, "documents").count()
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_runs_of_short_pieces_are_spam_and_sheets_are_not(spark):
+    base = pages()
+    runs, sheets = [], []
+    for i in range(30):
+        words = [f"{WORDS[(i + k) % 7]} {WORDS[(k * k + i) % 7]}" if k % 3 else WORDS[(i + k) % 7] for k in range(50)]
+        end = [".", "!", "?"][i % 3]
+        run = " ".join(w + end for w in words)
+        runs.append((1000 + i, [run, run.upper(), SENTENCE.format(i) + " " + run, SENTENCE.format(i) + "\n\n" + run, "\n".join(words)][i % 5], "web"))
+        sheets.append((2000 + i, [" ", "\n"][i % 2].join(f"In bay B-{k} it is {['ok', 'open'][k % 2]}{'.' if i % 3 else ';'}" for k in range(20)), "field"))
+        sheets.append((3000 + i, "\n".join(SENTENCE.format(k) for k in range(12)) + "\n\n" + " ".join(w + end for w in words[:12]), "web"))
+    found = {r.doc_id for r in spam.spam_pages(frame(spark, [*base, *runs, *sheets])).collect()}
+    assert {r[0] for r in runs} <= found
+    assert not {r[0] for r in sheets} & found
+
+
+def test_links_between_short_sentences_are_a_unit_of_their_own():
+    text = "Ein Feld war offen.\n" + "\n".join(f"https://www.fuse-{k}.test/p/{k}" for k in range(9)) + "\nEs ist nun zu."
+    kinds = [[p.marked for p in u] for u in spam.units(text)]
+    assert kinds == [[False], [True] * 9, [False]]
+    assert "".join(p.text for u in spam.units("a b. c!\n\nd? " + "e f. " * 40) for p in u) == "ab.c!d?".replace("ab", "a b") + "e f." * 40
+
+
+def test_hosts_move_doubtful_units_only(spark):
+    """The same pages score alike by the trees alone wherever they come from; a host full of spam never clears or condemns a sure one."""
+    rows = [r[:3] for r in pages()]
+    moved = {r.doc_id: r for r in spam.page_scores(frame(spark, [(d, t, "one") for d, t, _ in rows])).collect()}
+    other = {r.doc_id: r for r in spam.page_scores(frame(spark, rows)).collect()}
+    assert all(moved[d].score == other[d].score for d in moved)
+    assert sum((r.smoothed > 0.5) != (r.score > 0.5) for r in other.values()) <= 2
