@@ -7,24 +7,55 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.skew import salted_join
+from gridloom.operators.skew import hot_keys, salted_join
 
 
-def eager_join_aggregate(left: DataFrame, right: DataFrame, on: Sequence[str], group: Sequence[str], total: str | None = None) -> DataFrame:
-    """group, n_rows, n_keys[, sum_<total>] of `left JOIN right USING (on) GROUP BY group`, without building that join.
+def eager_join_aggregate(left: DataFrame, right: DataFrame, on: Sequence[str], group: Sequence[str], total: str | None = None, outer: bool = False) -> DataFrame:
+    """group, n_left, n_rows, n_keys[, sum_<total>] of `left JOIN right USING (on) GROUP BY group`, without building that join.
 
-    n_rows counts joined rows, n_keys the different join keys, sum_<total> adds up a column of the left input. group are
-    columns of the left input. Method: both inputs are pre-aggregated by join key (the left one by group as well), the
+    n_left counts the left rows that take part, n_rows the joined rows, n_keys the different join keys, sum_<total> adds up
+    a column of the left input over the joined rows. group are columns of the left input. outer: left rows without partner
+    take part too and join no row. Method: both inputs are pre-aggregated by join key (the left one by group as well), the
     compact states are joined, counts multiply and sums scale with the other side's count, and the products roll up by
     group. Every shuffle carries states that were combined on the map side: a hot group arrives as one row per task and
-    distinct key, a hot key is spread by salted_join. Null keys join nothing, null groups form a group.
+    distinct key; a key that many groups share is spread by salted_join. Null keys join nothing, null groups form a group.
     """
     on, group = list(on), list(group)
     sums = [F.sum(total).alias("_sum")] if total else []
     a = left.groupBy(*on, *group).agg(F.count(F.lit(1)).alias("_n"), *sums)
     b = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"))
-    both = salted_join(a, b, on)
-    out = [F.sum(F.col("_n") * F.col("_m")).alias("n_rows"), F.count(F.lit(1)).alias("n_keys")]
+    return _roll_up(salted_join(a, b, on, "left" if outer else "inner"), group, total)
+
+
+def _roll_up(states: DataFrame, group: list[str], total: str | None) -> DataFrame:
+    m = F.coalesce("_m", F.lit(0))
+    out = [F.sum("_n").alias("n_left"), F.sum(F.col("_n") * m).alias("n_rows"), F.count(F.lit(1)).alias("n_keys")]
     if total:
-        out.append(F.sum(F.col("_sum") * F.col("_m")).alias(f"sum_{total}"))
-    return both.groupBy(*group).agg(*out)
+        out.append(F.sum(F.col("_sum") * m).alias(f"sum_{total}"))
+    return states.groupBy(*group).agg(*out)
+
+
+def eager_counts(left: DataFrame, right: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(dimension, key, n_left, n_rows, n_keys): eager_join_aggregate with outer=True by each of several string columns, in one pass.
+
+    Repeated left rows (equal in all columns) count once. The left rows are shuffled once, by join key: the removal of
+    repeated rows, the pre-aggregation by each column and the join with the right states all work on that partitioning. Rows
+    of a hot join key are spread over salts by a hash of the row; such a key has then one state for each salt, which are
+    merged by (key, group) before the roll-up, so that n_keys stays exact.
+    """
+    on, columns = list(on), list(columns)
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(left, on).select(*on, "_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    rows = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*left.columns), salts)).otherwise(0).cast("int"))
+    rows = rows.repartition(parts, *on, "_salt").groupBy(*on, "_salt", *(c for c in left.columns if c not in on)).agg(F.first("_salts").alias("_salts"))
+    each = F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).alias("key")) for c in columns))
+    states = rows.select(*on, "_salt", "_salts", F.inline(each)).groupBy(*on, "_salt", "dimension", "key").agg(F.count(F.lit(1)).alias("_n"), F.first("_salts").alias("_salts"))
+    b = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"))
+    b = b.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    both = states.join(b, [*on, "_salt"], "left")
+    group = ["dimension", "key"]
+    cold = _roll_up(both.filter(F.col("_salts").isNull()), group, None)
+    merged = both.filter(F.col("_salts").isNotNull()).groupBy(*on, *group).agg(F.sum("_n").alias("_n"), F.max("_m").alias("_m"))
+    counts = cold.unionByName(_roll_up(merged, group, None))
+    return counts.groupBy(*group).agg(*(F.sum(c).alias(c) for c in ("n_left", "n_rows", "n_keys")))

@@ -8,47 +8,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Keys that are taken for hot at most; every key with more than 1 / HOT_KEYS of all rows is one of them.
-HOT_KEYS = 500
-#: Small inputs need no salting: below this number of rows no key is hot.
-HOT_LEAST_ROWS = 10_000
+#: Keys that are taken for hot at most (about 10 MB to broadcast); every key with more than 1 / HOT_KEYS of all rows is one of them.
+HOT_KEYS = 100_000
+#: Rows of a key that one task should get: never fewer than the first number, never more than the second.
+TASK_ROWS, TASK_ROWS_MOST = 10_000, 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], most: int = HOT_KEYS, least: int = HOT_LEAST_ROWS) -> DataFrame:
-    """The `most` keys with the most rows, if they have at least `least` rows each, with their number of rows (`_n`).
+def hot_keys(df: DataFrame, keys: Sequence[str], most: int = HOT_KEYS, least: int = TASK_ROWS) -> DataFrame:
+    """The keys whose rows should not meet in one task: keys, their number of rows (`_n`) and over how many tasks to spread them (`_salts`).
 
-    Every key that holds more than 1/most of all rows is among them, and there are never more: the result may be broadcast
-    at any size of df. Counting is partial on the map side, so a hot key costs one row per task. Nothing runs before the
-    plan that uses it does.
+    A salt should get a quarter of a task's even share of the frequent keys' rows, so that salts which meet in a task do no harm,
+    within TASK_ROWS and TASK_ROWS_MOST; a key with more
+    is hot and has as many salts as that takes, so a key's salts grow with its rows. Every key that holds more than 1/most
+    of all rows is looked at, and there are never more than `most`: the result may be broadcast at any size of df. Counting
+    is partial on the map side, so a hot key costs one row per task. Nothing runs before the plan that uses it does.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least)
-    return counts.orderBy(F.desc("_n"), *keys).limit(most)
+    return hot_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, most, least)
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    extra: Column | None = None,
-    salts: int = 32,
-    hot: DataFrame | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Equi-join in which the left rows of hot keys are spread over `salts` tasks.
+def hot_of(counts: DataFrame, keys: Sequence[str], most: int = HOT_KEYS, least: int | None = None) -> DataFrame:
+    """hot_keys from counts that are there already: keys and `_n`."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = hot_keys.__defaults__[1] if least is None else least
+    top = counts.filter(F.col("_n") >= least).orderBy(F.desc("_n"), *keys).limit(most)
+    frequent = F.sum("_n").over(Window.partitionBy(F.lit(1)))  # over `most` rows
+    share = F.greatest(F.lit(least), F.least(F.lit(max(least, TASK_ROWS_MOST)), F.ceil(frequent / (4 * parts))))
+    return top.withColumn("_salts", F.ceil(F.col("_n") / share).cast("int")).filter(F.col("_salts") > 1)
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", extra: Column | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join in which the left rows of hot keys are spread over tasks, the more the more rows a key has.
 
     Left rows with a hot key get a salt from a hash of the whole row; right rows with a hot key are repeated once per salt.
     Right should have few rows per key. how: inner, left, left_semi or left_anti. Null keys match nothing. `extra` may
-    name columns of both sides; the key columns come out once, from the left. With no hot key it is a plain join, and it
-    is planned as one if `rows`, an upper bound of left's rows, says that no key can be hot.
+    name columns of both sides; the key columns come out once, from the left. hot: the result of hot_keys, where the caller
+    has it already. With no hot key it is a plain join.
     """
     on = list(on)
-    if rows is not None and rows < HOT_LEAST_ROWS and hot is None and extra is None:
-        return left.join(right, on, how)
     hot = hot if hot is not None else hot_keys(left.filter(F.col(on[0]).isNotNull()), on)
-    marks = hot.select(*on, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    marks = hot.select(*on, "_salts")
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col("_salts"))).otherwise(F.lit(0)).cast("int")
+    copies = F.when(F.col("_salts").isNotNull(), F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))
     a = left.join(F.broadcast(marks), on, "left").withColumn("_salt", salt).select(*left.columns, "_salt")
     b = right.join(F.broadcast(marks), on, "left").withColumn("_salt", F.explode(copies)).select(*right.columns, "_salt")
     b = b.withColumnsRenamed({k: f"_r_{k}" for k in [*on, "_salt"]})

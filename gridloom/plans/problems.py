@@ -66,21 +66,19 @@ def p4_table(kind: str):
 
 
 def p5_counts(spark: SparkSession, d: str) -> DataFrame:
-    """(dimension, key, n_rows, n_objects): for each class and each value the rows and the different objects.
+    """(dimension, key, n_rows, n_objects, n_links): for each class and each value the rows, the different objects, and the links to them.
 
-    Null classes and values are groups; a null version or id is an object's key like any other (the join needs keys that
-    are not null, so ids get a mark in front and a null version stands as the least number).
+    n_links counts the pairs of such a row and a reference that points to the row's object: the join of the facts with the
+    references, whose multiplicities are those of the references. Null classes and values are groups; a null version or id
+    is an object's key like any other (the join needs keys that are not null, so ids get a mark in front and a null version
+    stands as the least number); a reference without value points to nothing.
     """
-    facts = table(spark, d, "staging_records").distinct()
-    key = {"version": F.coalesce("version", F.lit(-(2**63))), "id": F.coalesce(F.concat(F.lit("="), "id"), F.lit(""))}
-    facts = facts.withColumns(key)
-    objects = facts.select("version", "id").distinct()
-    out = None
-    for dimension in ("class", "value"):
-        one = eager.eager_join_aggregate(facts, objects, ["version", "id"], [dimension])
-        one = one.select(F.lit(dimension).alias("dimension"), F.col(dimension).alias("key"), "n_rows", F.col("n_keys").alias("n_objects"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    facts = table(spark, d, "staging_records")
+    version, mark = F.coalesce("version", F.lit(-(2**63))), lambda c: F.concat(F.lit("="), c)
+    left = facts.withColumns({"version": version, "id": F.coalesce(mark(F.col("id")), F.lit(""))})
+    links = facts.filter("is_reference AND value IS NOT NULL").distinct().select(version.alias("version"), mark(F.col("value")).alias("id"))
+    out = eager.eager_counts(left, links, ["version", "id"], ["class", "value"])
+    return out.select("dimension", "key", F.col("n_left").alias("n_rows"), F.col("n_keys").alias("n_objects"), F.col("n_rows").alias("n_links"))
 
 
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
@@ -184,10 +182,10 @@ UNION ALL SELECT 'within', id, area_id FROM crossed WHERE n % 2 = 1
     "p3_found": f"WITH {_TYPED} SELECT version, id, attribute FROM judged GROUP BY ALL HAVING NOT bool_or(good)",
     "p5_counts": """
 WITH f AS (SELECT DISTINCT * FROM staging_records),
-v AS (SELECT value, count(*) AS n, version, id FROM f GROUP BY ALL),
-c AS (SELECT class, count(*) AS n, version, id FROM f GROUP BY ALL)
-SELECT 'class' AS dimension, class AS key, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_objects FROM c GROUP BY class
-UNION ALL SELECT 'value', value, CAST(sum(n) AS BIGINT), count(*) FROM v GROUP BY value
+m AS (SELECT version, value AS id, count(*) AS m FROM f WHERE is_reference AND value IS NOT NULL GROUP BY ALL),
+g AS (SELECT f.*, coalesce(m.m, 0) AS m FROM f LEFT JOIN m ON m.version IS NOT DISTINCT FROM f.version AND m.id = f.id)
+SELECT 'class' AS dimension, class AS key, count(*) AS n_rows, count(DISTINCT (version, id)) AS n_objects, CAST(sum(m) AS BIGINT) AS n_links FROM g GROUP BY class
+UNION ALL SELECT 'value', value, count(*), count(DISTINCT (version, id)), CAST(sum(m) AS BIGINT) FROM g GROUP BY value
 """,
     "p7_found": f"WITH {_REFS} SELECT DISTINCT ref_table, ref_column, record_id FROM judged WHERE lost",
     "p7_monthly": f"""
