@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.skew import salted_join
+from gridloom.operators.skew import hot_of, salted_join
 from gridloom.session import cut, drop
 
 
@@ -31,12 +31,16 @@ def group_pairs(pairs: DataFrame, left: str, right: str, ignored: tuple[str, ...
 
     edges = cut(edges)
     rounds: list[DataFrame] = []
-    while n := edges.count():
-        roots = _stars(_hooks(edges), 2 * n)
+    while not edges.isEmpty():
+        chosen = _choices(edges)
+        # A component with very many edges is hot where edges are renamed; its degree is known from its choice.
+        hubs = hot_of(chosen.select("c", F.col("degree").alias("_n")), ["c"])
+        roots = _stars(_hooks(chosen))
         rounds.append(roots)
-        renamed = _rename(_rename(edges, roots, "u", n), roots, "v", n).filter(F.col("u") != F.col("v"))
+        renamed = _rename(_rename(edges, roots, hubs, "u"), roots, hubs, "v").filter(F.col("u") != F.col("v"))
         left_over = cut(renamed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
         drop(edges)
+        drop(chosen)
         edges = left_over
     drop(edges)
 
@@ -48,23 +52,27 @@ def group_pairs(pairs: DataFrame, left: str, right: str, ignored: tuple[str, ...
     return nodes.join(names.withColumnRenamed("c", "node"), "node", "left").select("node", F.coalesce("root", "node").alias("group_id"))
 
 
-def _hooks(edges: DataFrame) -> DataFrame:
-    """(c, p): each component's smallest neighbour; of two that chose each other the smaller one points to itself."""
+def _choices(edges: DataFrame) -> DataFrame:
+    """(c, p, degree): each component's smallest neighbour and its number of edges."""
     both = edges.select(F.col("u").alias("c"), F.col("v").alias("p")).union(edges.select(F.col("v").alias("c"), F.col("u").alias("p")))
-    chosen = cut(both.groupBy("c").agg(F.min("p").alias("p")))
+    return cut(both.groupBy("c").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("degree")))
+
+
+def _hooks(chosen: DataFrame) -> DataFrame:
+    """(c, p): of two that chose each other the smaller one points to itself, everything else to its choice."""
     # c is a root if it chose a larger one that chose it back; only those need the look-up, and each is asked for once.
-    up = chosen.filter(F.col("c") < F.col("p"))
+    up = chosen.filter(F.col("c") < F.col("p")).select("c", "p")
     back = chosen.filter(F.col("p") < F.col("c")).select(F.col("c").alias("p"), F.col("p").alias("c"))
     mutual = up.join(back, ["c", "p"], "left_semi").select("c", F.lit(True).alias("root"))
     return chosen.join(mutual, "c", "left").select("c", F.when(F.col("root"), F.col("c")).otherwise(F.col("p")).alias("p"))
 
 
-def _stars(hooks: DataFrame, rows: int) -> DataFrame:
-    """(c, root) by pointer doubling: p becomes the parent's parent until no pointer moves. rows: as many hooks at most."""
+def _stars(hooks: DataFrame) -> DataFrame:
+    """(c, root) by pointer doubling: p becomes the parent's parent until no pointer moves."""
     now = cut(hooks)
     while True:
         parents = now.filter(F.col("c") != F.col("p")).select(F.col("c").alias("p"), F.col("p").alias("g"))  # roots point to themselves
-        after = cut(salted_join(now, parents, ["p"], "left", rows=rows).select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")))
+        after = cut(salted_join(now, parents, ["p"], "left").select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")))
         done = after.filter("moved").isEmpty()
         drop(now)
         now = after
@@ -72,6 +80,6 @@ def _stars(hooks: DataFrame, rows: int) -> DataFrame:
             return now.select("c", F.col("p").alias("root"))
 
 
-def _rename(edges: DataFrame, roots: DataFrame, end: str, rows: int) -> DataFrame:
+def _rename(edges: DataFrame, roots: DataFrame, hubs: DataFrame, end: str) -> DataFrame:
     other = "v" if end == "u" else "u"
-    return salted_join(edges, roots.withColumnRenamed("c", end), [end], rows=rows).select(F.col("root").alias(end), other)
+    return salted_join(edges, roots.withColumnRenamed("c", end), [end], hot=hubs.withColumnRenamed("c", end)).select(F.col("root").alias(end), other)
