@@ -35,7 +35,7 @@ def test_cells_types_and_choices(spark):
 
 
 @pytest.mark.parametrize(("text", "kind", "good"), [
-    ("1", "long", True), ("-1", "long", True), ("+1", "long", False), ("1.0", "long", False), ("9223372036854775807", "long", True), ("9223372036854775808", "long", False), ("３", "long", False), ("1L", "long", False), ("12_000", "long", False),
+    ("1", "long", True), ("007", "long", True), ("-1", "long", True), ("+1", "long", False), ("1.0", "long", False), ("9223372036854775807", "long", True), ("9223372036854775808", "long", False), ("３", "long", False), ("1L", "long", False), ("12_000", "long", False),
     ("1.", "double", False), ("1.5E+3", "double", True), ("1d", "double", False), ("NaN", "double", False), ("1e309", "double", False), ("tru", "boolean", False), ("T", "boolean", False), ("False", "boolean", True),
     ("2024-2-01", "date", False), ("2023-02-29", "date", False), ("2024-02-29", "date", True), ("0000-01-01", "date", False), ("20240229", "date", False), (" 2 ", "long", True),
 ])
@@ -44,11 +44,18 @@ def test_literals(spark, text, kind, good):
     assert spark.range(1).select(F.coalesce(w.fits(v, F.lit(kind)), F.lit(False)).alias("g")).first().g is good
 
 
-def test_buckets_do_not_change_the_table(spark, small, monkeypatch):
+@pytest.mark.parametrize("values", [1, 3000])
+def test_blocks_do_not_change_the_table(spark, small, monkeypatch, values):
     f, t = table(spark, small, "staging_records"), table(spark, small, "attribute_types")
-    one = {tuple(r) for r in w.widen(f, t).select("version", "id", "class", "`Conductor.length`", F.array_join("bad_attributes", ",")).collect()}
-    monkeypatch.setattr(w, "CELLS_PER_BUCKET", 300)
-    assert one == {tuple(r) for r in w.widen(f, t).select("version", "id", "class", "`Conductor.length`", F.array_join("bad_attributes", ",")).collect()}
+    rows = lambda: [tuple(r) for r in w.widen(f, t).select("version", "id", "class", "`Conductor.length`", F.array_join("bad_attributes", ",")).collect()]
+    one = rows()
+    monkeypatch.setattr(w, "BLOCK_VALUES", values)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        two = rows()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(one, key=str) == sorted(two, key=str)
     assert len(one) == f.select("version", "id").distinct().count()
 
 
@@ -67,3 +74,10 @@ def test_empty_and_named_attributes(spark):
 def test_long_values(spark):
     out = w.widen(facts(spark, [(1, "a", "F", "A.s", "y" * 300_000, 0), (1, "a", "F", "A.n", "9" * 300_000, 0)]), types(spark)).first()
     assert len(out["A.s"]) == 300_000 and out["bad_attributes"] == ["A.n"]
+
+
+def test_literals_at_the_edges_are_read(spark):
+    rows = [(1, str(k), "F", a, x, 0) for k, (a, x) in enumerate([("A.n", "-007"), ("A.n", "-9223372036854775808"), ("A.x", "00.50"), ("A.x", "-1E-320"), ("A.x", "5e0"), ("A.on", "FALSE"), ("A.day", "9999-12-31"), ("A.day", "0001-01-01"), ("A.x", "123456789012345678901234567890")])]
+    out = {int(r.id): r for r in w.widen(facts(spark, rows), types(spark), attributes=["A.n", "A.x", "A.on", "A.day"]).collect()}
+    assert [out[0]["A.n"], out[1]["A.n"], out[2]["A.x"], out[4]["A.x"], out[5]["A.on"], out[8]["A.x"]] == [-7, -(2**63), 0.5, 5.0, False, 123456789012345678901234567890.0]
+    assert abs(out[3]["A.x"] + 1e-320) < 1e-322 and out[6]["A.day"] == datetime.date(9999, 12, 31) and out[7]["A.day"] == datetime.date(1, 1, 1)
