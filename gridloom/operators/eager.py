@@ -40,22 +40,20 @@ def eager_counts(left: DataFrame, right: DataFrame, on: Sequence[str], columns:
 
     Repeated left rows (equal in all columns) count once. The left rows are shuffled once, by join key: the removal of
     repeated rows, the pre-aggregation by each column and the join with the right states all work on that partitioning. Rows
-    of a hot join key are spread over salts by a hash of the row; such a key has then one state for each salt, which are
-    merged by (key, group) before the roll-up, so that n_keys stays exact.
+    of a hot join key go another way: they are spread by the whole row and then by (join key, group), combined on the map
+    side, so that they never meet in one task.
     """
     on, columns = list(on), list(columns)
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left, on).select(*on, "_salts"))
-    salts = F.coalesce("_salts", F.lit(1))
-    rows = left.join(hot, on, "left").withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*left.columns), salts)).otherwise(0).cast("int"))
-    rows = rows.repartition(parts, *on, "_salt").groupBy(*on, "_salt", *(c for c in left.columns if c not in on)).agg(F.first("_salts").alias("_salts"))
+    hot = F.broadcast(hot_keys(left, on).select(*on))
     each = F.array(*(F.struct(F.lit(c).alias("dimension"), F.col(c).alias("key")) for c in columns))
-    states = rows.select(*on, "_salt", "_salts", F.inline(each)).groupBy(*on, "_salt", "dimension", "key").agg(F.count(F.lit(1)).alias("_n"), F.first("_salts").alias("_salts"))
     b = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_m"))
-    b = b.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    both = states.join(b, [*on, "_salt"], "left")
+
+    def states(rows: DataFrame) -> DataFrame:
+        return rows.distinct().select(*on, F.inline(each)).groupBy(*on, "dimension", "key").agg(F.count(F.lit(1)).alias("_n"))
+
+    cold = states(left.join(hot, on, "left_anti").repartition(parts, *on)).join(b, on, "left")
+    warm = salted_join(states(left.join(hot, on, "left_semi")), b.join(hot, on, "left_semi"), on, "left")
     group = ["dimension", "key"]
-    cold = _roll_up(both.filter(F.col("_salts").isNull()), group, None)
-    merged = both.filter(F.col("_salts").isNotNull()).groupBy(*on, *group).agg(F.sum("_n").alias("_n"), F.max("_m").alias("_m"))
-    counts = cold.unionByName(_roll_up(merged, group, None))
+    counts = _roll_up(cold, group, None).unionByName(_roll_up(warm, group, None))
     return counts.groupBy(*group).agg(*(F.sum(c).alias(c) for c in ("n_left", "n_rows", "n_keys")))
