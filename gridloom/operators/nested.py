@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.session import spread
+
 #: The lists of each node kind, by the field's place in the model; a place is the field's ordinal in a label.
 FIELDS = {
     "file": ["busbars", "bays", "equipments", "segments"],
@@ -38,15 +41,115 @@ def _refuse(text: str) -> None:
 def _load(body: str) -> object:
     try:
         return json.loads(body, parse_constant=_refuse)
+    except RecursionError:
+        return deep_json(body)
     except ValueError as e:
         if "integer string conversion" not in str(e):
             raise
         return json.loads(body, parse_constant=_refuse, parse_int=str)  # a number of thousands of digits is valid JSON
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
+
+
+def deep_json(text: str) -> object:
+    """JSON of any depth, read with a stack of its own; scalars are left to the json module. Raises ValueError like it."""
+    scan = json.JSONDecoder(parse_constant=_refuse).scan_once
+    holders: list[dict | list] = []
+    names: list[str | None] = []
+    at, root, want = _SPACE.match(text).end(), None, "value"
+
+    def fail() -> None:
+        raise ValueError(f"no JSON at character {at}")
+
+    def skip(n: int) -> int:
+        return _SPACE.match(text, n).end()
+
+    def name(n: int) -> tuple[str, int]:
+        if text[n : n + 1] != '"':
+            fail()
+        key, n = json.decoder.scanstring(text, n + 1)
+        n = skip(n)
+        if text[n : n + 1] != ":":
+            fail()
+        return key, skip(n + 1)
+
+    while True:
+        c = text[at : at + 1]
+        if want == "value" and c and c in "[{":
+            new: dict | list = [] if c == "[" else {}
+            at = skip(at + 1)
+            holders.append(new)
+            names.append(None)
+            if text[at : at + 1] == ("]" if c == "[" else "}"):
+                want = "end"
+            elif c == "{":
+                names[-1], at = name(at)
+            continue
+        if want == "value":
+            number = _NUMBER.match(text, at)
+            try:
+                value, at = (number.group(), number.end()) if number and number.end() - at > 4000 else scan(text, at)
+            except StopIteration:
+                fail()
+        else:  # a holder ends
+            value, at = holders.pop(), at + 1
+            names.pop()
+        at = skip(at)
+        if not holders:
+            root = value
+            break
+        top = holders[-1]
+        if isinstance(top, list):
+            top.append(value)
+        else:
+            top[names[-1]] = value
+        c = text[at : at + 1]
+        if c == ",":
+            at, want = skip(at + 1), "value"
+            if isinstance(top, dict):
+                names[-1], at = name(at)
+        elif c == ("]" if isinstance(top, list) else "}"):
+            want = "end"
+        else:
+            fail()
+    if at != len(text):
+        fail()
+    return root
+
+
+def _dumps(x: object) -> str:
+    try:
+        return json.dumps(x, ensure_ascii=False)
+    except RecursionError:
+        return deep_dumps(x)
+
+
+def deep_dumps(x: object) -> str:
+    """json.dumps for any depth."""
+    out: list[str] = []
+    todo: list[object] = [(x,)]  # a 1-tuple is a value to write, a string is text
+    while todo:
+        t = todo.pop()
+        if isinstance(t, str):
+            out.append(t)
+            continue
+        v = t[0]
+        if isinstance(v, list):
+            parts = [p for e in v for p in (", ", (e,))][1:]
+            todo += ["]", *reversed(parts), "["]
+        elif isinstance(v, dict):
+            parts = [p for k, e in v.items() for p in (", ", json.dumps(k, ensure_ascii=False) + ": ", (e,))][1:]
+            todo += ["}", *reversed(parts), "{"]
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
+
+
 def _scalar(x: object) -> str | None:
     """A text for a flat column: a string as it is, anything else as JSON."""
-    return None if x is None else x if isinstance(x, str) else json.dumps(x, ensure_ascii=False)
+    return None if x is None else x if isinstance(x, str) else _dumps(x)
 
 
 def _clean(x: str | None) -> str | None:
@@ -92,14 +195,19 @@ def _parent(label: list[int], path: str, key: str | None) -> tuple[list[int], st
     return label[:-2], path[: path.rindex(".")]
 
 
-def nodes(files: DataFrame) -> DataFrame:
+def nodes(files: DataFrame, once: bool = True) -> DataFrame:
     """All nodes of all bodies: one row per busbar, section, bay, equipment, segment, satellite and satellite attribute.
 
     files: file_id, body; other columns are ignored, repeated rows count once. A body that is null, no valid JSON (RFC 8259;
-    NaN and Infinity are none; nesting beyond the interpreter's stack counts as unreadable) or no object gives one row of
-    kind `unreadable` with the reason in `value`. Scalar and other fields of a node are in `fields` as text or JSON.
+    NaN and Infinity are none; any depth) or no object gives one row of kind `unreadable` with the reason in `value`. Scalar
+    and other fields of a node are in `fields` as text or JSON. once=False leaves repeated rows to a caller that removes
+    repeated nodes anyway, and so spares the shuffle of the bodies.
     """
-    once = files.select("file_id", "body").withColumn("_h", F.sha2("body", 256)).groupBy("file_id", "_h").agg(F.first("body").alias("body"))
+    bodies = files.select("file_id", "body")
+    if once:
+        bodies = bodies.groupBy("file_id", F.sha2("body", 256).alias("_h")).agg(F.first("body").alias("body")).select("file_id", "body")
+    else:
+        bodies = spread(bodies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -109,7 +217,7 @@ def nodes(files: DataFrame) -> DataFrame:
                     root = _load(body.as_py())
                     if not isinstance(root, dict):
                         why = "not an object"
-                except (ValueError, TypeError, RecursionError) as e:
+                except (ValueError, TypeError) as e:
                     why = f"{type(e).__name__}: {e}"
                 if why:
                     yield file_id, "unreadable", "$", [], None, "$", None, None, None, None, _clean(why), None
@@ -131,7 +239,7 @@ def nodes(files: DataFrame) -> DataFrame:
             if part:
                 yield table(part)
 
-    return once.select("file_id", "body").mapInArrow(run, NODE)
+    return bodies.mapInArrow(run, NODE)
 
 
 def flat_table(all_nodes: DataFrame, kind: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 EARTH_M = 6_371_008.8
 #: A grid cell's edge as a multiple of the search radius; a ball of the radius touches 1 to 8 cells, 3.4 on average.
 CELL_OF_RADIUS = 4.0
+#: Least edge of a cell in metres; with it a cell's number fits an int.
+LEAST_CELL_M = 0.01
 #: Finest cell of the area grid in degrees; level n has cells of 2^n times that, an area is filed at the level where it covers few.
 AREA_CELL_DEG = 1 / 64
 AREA_CELLS = 4
@@ -37,7 +39,7 @@ def great_circle_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
 
 def _salts(hot_at: float) -> Column:
     """Over how many tasks a cell is spread: 1 for a cell that is not hot (n is null)."""
-    return F.when(F.col("n").isNull(), F.lit(1)).otherwise(F.least(F.lit(256), F.ceil(F.col("n") / hot_at) + 1)).cast("int")
+    return F.when(F.col("n").isNull(), F.lit(1)).otherwise(F.ceil(F.col("n") / hot_at) + 1).cast("int")
 
 
 def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
@@ -48,7 +50,9 @@ def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     its arc, hence a partner lies in a cell that the ball around the point touches. The smaller id goes to those cells, the
     other one only to its own: each pair meets once. Hot cells are split: their visitors are spread over salts.
     """
-    edge = CELL_OF_RADIUS * radius_m
+    if not radius_m >= 0:
+        raise ValueError("a radius is at least 0")
+    edge = max(CELL_OF_RADIUS * radius_m, LEAST_CELL_M)
     lat, lon = F.radians("lat"), F.radians("lon")
     axes = {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
     placed = points.select("point_id", "lat", "lon", *((EARTH_M * c).alias(k) for k, c in axes.items()))

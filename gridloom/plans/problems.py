@@ -53,7 +53,7 @@ def p3_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    found = nested.nodes(table(spark, d, "model_file")).filter(F.col("kind") != "unreadable")
+    found = nested.nodes(table(spark, d, "model_file"), once=False).filter(F.col("kind") != "unreadable")
     return found.select("file_id", "parent_path", F.col("path").alias("child_path")).distinct()
 
 
@@ -99,6 +99,12 @@ def p7_monthly(spark: SparkSession, d: str) -> DataFrame:
     return every.unionByName(lost).groupBy(*keys).agg(F.sum("n_references").alias("n_references"), F.sum("n_orphans").alias("n_orphans"))
 
 
+def p7_filter(spark: SparkSession, d: str) -> DataFrame:
+    """(n_references, n_unknown, n_passed): how many references to unknown keys the Bloom filter lets pass to the exact join."""
+    refs = orphans.model_references(table(spark, d, "model_edge"), table(spark, d, "jag2nsc_raw_terminal"))
+    return orphans.filter_report(refs, orphans.model_targets(table(spark, d, "model_node"), table(spark, d, "model_equipment")), ["target", "key"])
+
+
 def document_facts(spark: SparkSession, d: str) -> DataFrame:
     """The readable documents of model_file as facts."""
     good, _ = documents.classify(table(spark, d, "model_file"))
@@ -124,6 +130,7 @@ QUERIES = {
     "p5_counts": p5_counts,
     "p7_found": p7_found,
     "p7_monthly": p7_monthly,
+    "p7_filter": p7_filter,
 }
 
 _TYPED = """

@@ -33,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; one of its own only where that is unset (tests)."""
+    """The shared folder named in spark.checkpoint.dir; one of its own only where that is unset and all runs on this machine (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = spark.conf.get("gridloom.scratch.dir", None)
     if not own:
         own = tempfile.mkdtemp(prefix="gridloom-")

@@ -108,11 +108,18 @@ def test_orphans_of_empty_tables(spark):
 
 def test_bloom_filter_misses_no_key_and_is_bounded(spark, monkeypatch):
     keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
-    for words in (1 << 20, 64):
+    other = spark.range(20_000).select(F.concat(F.lit("other"), "id").alias("key"))
+    for words in (1 << 20, 1 << 10):
         monkeypatch.setattr(orphans, "MAX_WORDS", words)
-        made, n = orphans.bloom_words(keys, "key", 20_000)
-        assert n <= words and made.count() <= n
-        probe = lambda df, made=made, n=n: df.withColumn("word", orphans._word(F.col("key"), n)).join(made, "word", "left").filter(F.coalesce(F.col("bits").bitwiseAND(orphans._mask(F.col("key"))) == orphans._mask(F.col("key")), F.lit(False))).count()
-        assert probe(keys) == 20_000
-        if words > 64:
-            assert probe(spark.range(20_000).select(F.concat(F.lit("other"), "id").alias("key"))) < 600
+        made, n = orphans.bloom_filter(keys, ["key"], 20_000)
+        assert n <= words and made.count() == n // orphans.ROW_WORDS
+        assert orphans.passed(keys, ["key"], made, n).filter("_maybe").count() == 20_000
+        if words > 1 << 10:
+            assert orphans.passed(other, ["key"], made, n).filter("_maybe").count() < 600
+
+
+def test_filter_report(spark):
+    refs = spark.createDataFrame([(i, f"k{i}", at(1)) for i in range(200)] + [(999, None, at(1)), (998, "", at(1))], "record_id int, key string, at timestamp")
+    targets = spark.createDataFrame([(f"k{i}", at(0), None) for i in range(50)] * 2, "key string, loaded_at timestamp, deleted_at timestamp")
+    r = orphans.filter_report(refs, targets).first()
+    assert (r.n_references, r.n_unknown) == (200, 150) and r.n_passed < 15

@@ -88,3 +88,26 @@ def test_no_files(spark):
     assert n.nodes(files(spark, [])).count() == 0
     with pytest.raises(ValueError):
         n.flat_table(n.nodes(files(spark, [])), "file")
+
+
+def test_bodies_nested_beyond_the_interpreters_stack(spark):
+    deep = "[" * 200_000 + "1" + "]" * 200_000
+    body = '{"busbars": [{"id": "b", "attributes": {"k": ' + deep + ', "n": 1}, "sections": [{"id": "s"}]}]}'
+    rows = n.nodes(spark.createDataFrame([("f", body), ("g", '{"busbars": ' + "[" * 200_000), ("h", '{"a": ' + '{"b":' * 50_000 + "null" + "}" * 50_000 + "}")], "file_id string, body string")).collect()
+    assert [(r.file_id, r.path, r.id) for r in rows if r.kind != "unreadable"] == [("f", "$.busbars[0]", "b"), ("f", "$.busbars[0].sections[0]", "s")]
+    assert [r.file_id for r in rows if r.kind == "unreadable"] == ["g"]
+    assert len(next(r for r in rows if r.id == "b").fields["attributes"]) > 400_000
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, 2.5e3, "x\\u0041", null, true, {}, []], "b": {"c": [[{}]]}}', " [ ] ", "3", '"x"', '{"a":1,}', "[1 2]", "[1,]", "", "{", '{"a"}', "[1]]", '{"a": NaN}', "[01]", "nul", '{"a":1 "b":2}'])
+def test_the_deep_reader_reads_as_the_json_module(text):
+    def out(f):
+        try:
+            return f(text)
+        except ValueError:
+            return "error"
+
+    want = out(lambda t: json.loads(t, parse_constant=n._refuse))
+    assert out(n.deep_json) == want
+    if want != "error":
+        assert n.deep_dumps(want) == json.dumps(want, ensure_ascii=False)
