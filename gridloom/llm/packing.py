@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from gridloom.operators.skew import running
 from gridloom.session import cut
 
-#: A plan holds the histogram in the driver; larger capacities are refused.
-MAX_CAPACITY = 1 << 20
-#: Rounds over all sizes in which the reduction looks for more; it ends before when a round fixes nothing.
-ROUNDS = 20
+#: A plan holds the histogram in the driver; larger capacities are refused, and more than MAX_SIZES sizes in all packs together.
+MAX_CAPACITY, MAX_SIZES = 1 << 20, 1 << 23
+#: Rows of a plan that are broadcast; a larger one is joined by shuffle.
+BROADCAST_RUNS = 200_000
 
 
 @dataclass(frozen=True)
@@ -83,18 +83,21 @@ class Plan:
         return out
 
     def _best_pair(self, room: int, without: int) -> tuple[int, int] | None:
-        """The pair of items, larger first, with the greatest sum up to `room`."""
-        best, pair, lo = 0, None, 0
-        have = [s for s in self.sizes if self.left[s] > (s == without)]
-        hi = len(have) - 1
+        """The pair of items, larger first, with the greatest sum up to `room`; the search ends where it is `room`."""
+        best, pair, lo, sizes, left = 0, None, 0, self.sizes, self.left
+        hi = bisect_left(sizes, room) - 1
         while lo <= hi:
-            total = have[lo] + have[hi]
-            if total > room or (lo == hi and self.left[have[lo]] - (have[lo] == without) < 2):
+            a, b = sizes[lo], sizes[hi]
+            if left[a] == (a == without):
+                lo += 1
+            elif left[b] == (b == without) or a + b > room or (lo == hi and left[a] - (a == without) < 2):
                 hi -= 1
-                continue
-            if total > best:
-                best, pair = total, (have[hi], have[lo])
-            lo += 1
+            else:
+                if a + b > best:
+                    best, pair = a + b, (b, a)
+                    if best == room:
+                        break
+                lo += 1
         return pair
 
     def _dominating(self, j: int) -> list[int] | None:
@@ -128,13 +131,13 @@ class Plan:
         return None
 
     def _reduce(self) -> None:
-        for _ in range(ROUNDS):
+        """Until a round over all sizes fixes nothing more."""
+        before = -1
+        while self.containers != before:
             before = self.containers
             for j in sorted(self.sizes, reverse=True):
                 while j in self.left and (content := self._dominating(j)) and self._fix(content):
                     pass
-            if self.containers == before:
-                break
 
     def _best_fit(self) -> None:
         """Best fit in decreasing order over groups (residual, first container, count) of containers that are alike."""
@@ -173,6 +176,16 @@ class Plan:
                 put(residual, first + full + bool(rest), count - full - bool(rest))
 
 
+def in_blocks(runs: list[Run]) -> tuple[int, dict[int, list[Run]]]:
+    """(width, {block: runs}) of one size's runs: a rank's run is among those of block rank // width, one or two on average."""
+    width = max(1, -(-sum(r.count for r in runs) // len(runs)))
+    blocks: dict[int, list[Run]] = {}
+    for r in runs:
+        for block in range(r.first_rank // width, (r.first_rank + r.count - 1) // width + 1):
+            blocks.setdefault(block, []).append(r)
+    return width, blocks
+
+
 def pack(counts: DataFrame, capacities: DataFrame) -> DataFrame:
     """(pack_name, container_no, doc_id, piece_no, first_token, n_tokens): every document in a container of every pack.
 
@@ -182,8 +195,8 @@ def pack(counts: DataFrame, capacities: DataFrame) -> DataFrame:
     dealt out over the containers. container_no counts from 0 within a pack and every number up to the last one is used.
     """
     packs = capacities.select("pack_name", "capacity_tokens").distinct().limit(10_001).collect()
-    if len(packs) > 10_000 or any(not p.capacity_tokens or not 0 < p.capacity_tokens <= MAX_CAPACITY for p in packs):
-        raise ValueError(f"capacities must be from 1 to {MAX_CAPACITY}")
+    if len(packs) > 10_000 or any(not p.capacity_tokens or not 0 < p.capacity_tokens <= MAX_CAPACITY for p in packs) or sum(p.capacity_tokens for p in packs) > MAX_SIZES:
+        raise ValueError(f"capacities must be from 1 to {MAX_CAPACITY}, {MAX_SIZES} together")
     spark = counts.sparkSession
     counts = cut(counts)
     # Every document meets every pack; packs are a few fixed rows.
@@ -198,18 +211,24 @@ def pack(counts: DataFrame, capacities: DataFrame) -> DataFrame:
     for r in items.groupBy("pack_name", "size").count().collect():  # at most one row per pack and token of its capacity
         histogram[r.pack_name][r["size"]] = r["count"]
         total += r["count"]
-    runs, containers = [], []
+    widths, blocks, containers = [], [], []
     for p in packs:
         plan = Plan({s: n for s, n in histogram[p.pack_name].items() if s > 0}, int(p.capacity_tokens))
         containers.append((p.pack_name, max(1, plan.containers)))
-        by: dict[int, list[tuple[int, int, int, int]]] = {}
+        by: dict[int, list[Run]] = {}
         for r in plan.runs:
-            by.setdefault(r.size, []).append((r.first_rank, r.count, r.first_container, r.each))
-        runs += [(p.pack_name, s, x) for s, x in by.items()]
-    found = spark.createDataFrame(runs, "pack_name string, size long, runs array<struct<rank:bigint,n:bigint,container:bigint,each:bigint>>")
+            by.setdefault(r.size, []).append(r)
+        for size, own in by.items():
+            width, found = in_blocks(own)
+            widths.append((p.pack_name, size, width))
+            blocks += [(p.pack_name, size, block, [(r.first_rank, r.count, r.first_container, r.each) for r in rs]) for block, rs in found.items()]
+    small = (lambda df: F.broadcast(df)) if len(blocks) <= BROADCAST_RUNS else (lambda df: df)
+    width = small(spark.createDataFrame(widths, "pack_name string, size long, width long"))
+    found = small(spark.createDataFrame(blocks, "pack_name string, size long, block long, runs array<struct<rank:bigint,n:bigint,container:bigint,each:bigint>>"))
     number = F.broadcast(spark.createDataFrame(containers, "pack_name string, containers long"))
     ranked = running(items.drop("capacity", "n_tokens"), ["pack_name", "size"], ["doc_id", "text_hash", "piece_no"], total=total)
-    ranked = ranked.join(F.broadcast(found), ["pack_name", "size"], "left").join(number, "pack_name")
+    ranked = ranked.join(width, ["pack_name", "size"], "left").withColumn("block", F.expr("_rank div width"))
+    ranked = ranked.join(found, ["pack_name", "size", "block"], "left").join(number, "pack_name")
     run = F.filter("runs", lambda x: (x["rank"] <= F.col("_rank")) & (F.col("_rank") < x["rank"] + x["n"]))[0]
     own = run["container"] + F.floor((F.col("_rank") - run["rank"]) / run["each"])
     dealt = F.pmod(F.col("_rank"), F.col("containers"))

@@ -1,4 +1,6 @@
 import itertools
+import random
+import time
 from functools import lru_cache
 
 import pytest
@@ -115,3 +117,26 @@ def test_query_fills_well(spark, small):
     for r in queries.p8_fill(spark, small).collect():
         assert r.n_containers <= r.least_containers * 1.1 + 1
     assert queries.p8_packed(spark, small).select("doc_id").distinct().count() == n
+
+
+def test_a_large_plan_is_made_in_time():
+    """All sizes of a capacity of 65,536 in uneven numbers."""
+    rnd = random.Random(5)
+    histogram = {s: rnd.randint(1, 40) for s in range(1, 65_537)}
+    start = time.time()
+    plan = packing.Plan(histogram, 65_536)
+    assert time.time() - start < 20
+    need = -(-sum(s * n for s, n in histogram.items()) // 65_536)
+    assert need <= plan.containers <= need * 1.01
+
+
+def test_a_rank_finds_its_run_among_few():
+    plan = packing.Plan({s: (s * 7919) % 97 + 1 for s in range(1, 500)}, 700)
+    by = {}
+    for r in plan.runs:
+        by.setdefault(r.size, []).append(r)
+    for runs in by.values():
+        width, blocks = packing.in_blocks(runs)
+        assert sum(map(len, blocks.values())) <= 2 * len(runs) + 1
+        for rank in range(sum(r.count for r in runs)):
+            assert sum(r.first_rank <= rank < r.first_rank + r.count for r in blocks[rank // width]) == 1
