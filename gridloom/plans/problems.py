@@ -112,7 +112,8 @@ def document_facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_errors(spark: SparkSession, d: str) -> DataFrame:
-    return documents.classify(table(spark, d, "model_file"))[1]
+    """What is wrong in the paths and bodies of model_file."""
+    return documents.facts_and_errors(table(spark, d, "model_file"), 1)[1]
 
 
 QUERIES = {

@@ -1,27 +1,75 @@
-"""Document trees (`<region>/<kind>/<id>`, bodies as JSON) to facts and back."""
+"""Document trees (`<region>/<kind>/<id>`, in the text form of doctext) to facts, in both dialects.
+
+Dialect 2 marks a file's own names with `@`, shortens attribute keys and knows boundary documents, schedules, steps and paths;
+dialect 1 takes a name for its own unless it begins with a known container, and keeps keys as they are.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators import nested
+from gridloom.session import cut, spread
+from gridloom.sources.doctext import number, read, value_text
 
 #: Folder of a container kind, the class its object gets, and the model's container type.
 KINDS = {"ONS": ("Substation", "substation"), "KVS": ("Substation", "distribution-box"), "Kabel": ("ACLine", "acline"), "Haushalte": ("Building", "house"), "Grenzknoten": ("Boundary", "boundary")}
-FOLDER = {t: k for k, (_, t) in KINDS.items()}
 #: Only cables may lie in this region.
 INTERREGIONAL = "interregional"
-#: Attributes that never belong to the class of the object that has them.
-CLASS_OF_KEY = {"name": "IdentifiedObject", "description": "IdentifiedObject", "normallyInService": "Equipment", "normalOpen": "Switch", "open": "Switch", "retained": "Switch", "ratedCurrent": "Switch", "length": "Conductor"}
+GROUND = "GND"
+#: Attributes in kW or kvar in documents and in MW or Mvar in the model.
+KILO_KEYS = frozenset(("EnergyConsumer.p", "EnergyConsumer.q", "PowerElectronicsConnection.p", "PowerElectronicsConnection.q", "PowerElectronicsConnection.ratedS"))
+#: Bare keys that belong to one class, whatever the object (Sv objects excepted), by class.
+CLASS_KEYS = {
+    "IdentifiedObject": "mRID InstanceSet",
+    "Switch": "locked normalOpen retained open",
+    "Equipment": "inService normallyInService EquipmentContainer",
+    "PowerSystemResource": "AssetDatasheet PSRType",
+    "Fuse": "nominalCurrent",
+    "Meter": "measurementLocationIdentifier MeasuringSchedule TransmissionSchedule",
+    "TimeSchedule": "disabled recurrencePeriod",
+    "Conductor": "length",
+    "ACLineSegment": "PerLengthImpedance",
+    "BaseVoltage": "nominalVoltage",
+    "PowerElectronicsUnit": "maxP minP PowerElectronicsConnection technicalResourceIdentifier",
+    "PowerElectronicsConnection": "controllableResourceIdentifier",
+    "EnergyConsumer": "LoadResponse",
+    "PowerTransformer": "PowerTransformerEnd",
+    "PowerTransformerEnd": "connectionKind maxApparentPowerFactor PowerTransformer ratedS",
+    "RatioTapChanger": "tculControlMode",
+    "RegulatingCondEq": "controlEnabled",
+    "RegulatingControl": "discrete enabled maxAllowedTargetValue minAllowedTargetValue mode targetValueUnitMultiplier",
+    "TapChanger": "TapChangerControl",
+    "Terminal": "ConnectivityNode SvPowerFlow",
+    "UsagePoint": "ratedPower Building UsagePointLocation",
+    "VoltageLevel": "Substation",
+    "Feeder": "NormalEnergizingSubstation",
+    "Measurement": "unitMultiplier unitSymbol",
+    "AsynchronousMachine": "asynchronousMachineType",
+    "SynchronousMachine": "operatingMode shortCircuitRotorType InitialReactiveCapabilityCurve",
+    "WindGeneratingUnit": "windGenUnitType",
+    "GeneratingUnit": "genControlSource",
+    "FossilFuel": "fossilFuelType ThermalGeneratingUnit",
+    "CoordinateSystem": "crsUrn",
+    "Diagram": "orientation",
+    "Curve": "curveStyle xUnit y1Unit y2Unit",
+    "DiscreteControlLimit": "value",
+    "OperationalLimitType": "direction",
+}
+CLASS_OF_KEY = {k: c for c, keys in CLASS_KEYS.items() for k in keys.split()}
 FACT = "version bigint, id string, profile string, class string, attribute string, value string, is_reference boolean, seq int"
+#: Facts handed on at once by the parser.
+FACTS_PER_BATCH = 20_000
 
 
 def classify(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """files (file_id, path, body, ...) with region, folder, class_ and container_id by path; and errors (source_file, message).
 
-    A path has exactly three parts; the kind must be known, and only cables may be interregional. Of a container that two
-    different paths describe every file is an error.
+    A path has exactly three parts; the kind must be known, the name not empty, and only cables may be interregional. Of a
+    container that two different paths describe every file is an error.
     """
     part = F.split("path", "/")
     name = F.regexp_replace(F.get(part, F.lit(2)), r"\.[^.]*$", "")
@@ -32,6 +80,7 @@ def classify(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     wrong = (
         F.when(F.col("path").isNull() | (F.size(part) != 3), "path is not <region>/<kind>/<id>")
         .when(F.col("class_").isNull(), F.concat(F.lit("unknown kind "), F.col("folder")))
+        .when(F.col("container_id") == "", "file without a name")
         .when((F.col("region") == INTERREGIONAL) & (F.col("folder") != "Kabel"), "only cables may be interregional")
         .when(F.col("twice"), "container described by several files")
     )
@@ -39,112 +88,274 @@ def classify(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return f.filter("_wrong IS NULL").drop("_wrong", "twice"), f.filter("_wrong IS NOT NULL").select(F.col("path").alias("source_file"), F.col("_wrong").alias("message"))
 
 
-def local_id(name: Column, container: Column) -> Column:
-    """`@x` is the container's own `<container>-x`; any other id stands for itself."""
-    return F.when(name.startswith("@"), F.concat(container, F.lit("-"), F.substring(name, 2, 1_000_000))).otherwise(name)
+def local_id(name: str, container: str) -> str:
+    """`@x` is the container's own `<container>-x`; any other name stands for itself."""
+    return f"{container}-{name[1:]}" if name.startswith("@") else name
 
 
-def full_key(key: Column, own: Column) -> Column:
+def full_key(key: str, own: str) -> str:
     """A bare attribute key with its class: a fixed one for some keys (not on Sv objects), else the object's own."""
-    table = F.create_map(*(x for k, c in CLASS_OF_KEY.items() for x in (F.lit(k), F.lit(c))))
-    cls = F.when(own.startswith("Sv") & (key != "name"), own).otherwise(F.coalesce(F.try_element_at(table, key), own))
-    return F.when(F.contains(key, F.lit(".")), key).otherwise(F.concat(cls, F.lit("."), key))
-
-
-def facts(files: DataFrame, version: int) -> DataFrame:
-    """All facts of classified files (see classify): containers, busbars as voltage levels, sections, bays as feeders, equipment,
-    segments, synthesised terminals, satellites and positions."""
-    from gridloom.session import cut
-
-    of_file = files.select("file_id", "container_id", "class_")
-    n = cut(nested.nodes(files).join(of_file, "file_id"))
-    box = F.col("container_id")
-    lit = lambda x: F.lit(x).cast("string")
-
-    def rows(df: DataFrame, id_: Column, class_: Column, attribute: Column | str, value: Column, ref: bool, seq: Column | None = None) -> DataFrame:
-        a = attribute if isinstance(attribute, Column) else F.lit(attribute)
-        return df.select(F.lit(version).cast("bigint").alias("version"), id_.alias("id"), lit("EQ").alias("profile"), class_.alias("class"), a.alias("attribute"), value.cast("string").alias("value"), F.lit(ref).alias("is_reference"), (seq if seq is not None else F.lit(0)).cast("int").alias("seq")).filter(F.col("value").isNotNull() & F.col("id").isNotNull())
-
-    out: list[DataFrame] = []
-    top = files.filter(F.col("class_").isin("Substation", "Building"))
-    out.append(rows(top, box, F.col("class_"), "IdentifiedObject.name", box, False))
-
-    bus = n.filter("kind = 'busbar'").withColumn("own", local_id(F.col("id"), box))
-    level = F.concat("own", F.lit("-VL"))
-    out += [rows(bus, level, lit("VoltageLevel"), "VoltageLevel.Substation", box, True), rows(bus, level, lit("VoltageLevel"), "IdentifiedObject.name", F.col("id"), False)]
-    bay = n.filter("kind = 'bay'").withColumn("own", local_id(F.col("id"), box))
-    out += [rows(bay, F.col("own"), lit("Feeder"), "Feeder.NormalEnergizingSubstation", box, True), rows(bay, F.col("own"), lit("Feeder"), "IdentifiedObject.name", F.col("id"), False)]
-
-    above = bus.select("file_id", F.col("path").alias("parent_path"), F.concat("own", F.lit("-VL")).alias("in_"), F.col("own").alias("bus_node")).union(bay.select("file_id", "path", "own", lit(None)))
-    text = lambda f: F.from_json(F.col("fields")[f], "array<string>")
-    dev = n.filter("kind IN ('section', 'equipment', 'segment')").join(above, ["file_id", "parent_path"], "left").withColumn("own", local_id(F.col("id"), box))
-    cls = F.when(F.col("kind") == "section", "BusbarSection").when(F.col("kind") == "segment", "ACLineSegment").otherwise(F.col("class"))
-    connects = F.when(F.col("kind") == "section", F.array("bus_node")).when(F.col("kind") == "segment", F.array(F.col("fields")["from"], F.col("fields")["to"]))
-    connects = connects.otherwise(F.coalesce(text("connects"), F.array(F.col("fields")["connects"])))
-    dev = dev.withColumn("class", cls).withColumn("connects", connects)
-    holder = F.coalesce("in_", F.when(F.col("class_") != "ACLine", box))
-    out.append(rows(dev, F.col("own"), F.col("class"), "Equipment.EquipmentContainer", holder, True))
-    ends = dev.select("own", "container_id", F.posexplode(F.filter("connects", lambda c: c.isNotNull() & (c != "GND"))).alias("i", "c"))
-    end = F.concat("own", F.lit("-T"), (F.col("i") + 1).cast("string"))
-    out += [rows(ends, end, lit("Terminal"), "Terminal.ConductingEquipment", F.col("own"), True), rows(ends, end, lit("Terminal"), "Terminal.ConnectivityNode", local_id(F.col("c"), box), True), rows(ends, end, lit("Terminal"), "ACDCTerminal.sequenceNumber", F.col("i") + 1, False)]
-
-    place = F.coalesce(F.from_json(F.col("fields")["geometry"], "array<struct<lat:double,lon:double>>"), F.array(F.from_json(F.col("fields")["geometry"], "lat double, lon double")))
-    at = dev.filter(F.col("fields")["geometry"].isNotNull()).select("own", "class", F.posexplode(place).alias("i", "p")).filter("p.lat IS NOT NULL AND p.lon IS NOT NULL")
-    where, point = F.concat("own", F.lit("-LOC")), F.concat("own", F.lit("-LOC-PP"), (F.col("i") + 1).cast("string"))
-    out.append(rows(at, F.col("own"), F.col("class"), "PowerSystemResource.Location", where, True).distinct())
-    pp = lit("PositionPoint")
-    out += [rows(at, point, pp, "PositionPoint.Location", where, True), rows(at, point, pp, "PositionPoint.sequenceNumber", F.col("i") + 1, False), rows(at, point, pp, "PositionPoint.xPosition", F.col("p.lon"), False), rows(at, point, pp, "PositionPoint.yPosition", F.col("p.lat"), False)]
-
-    entries = dev.select("own", "class", F.explode(F.from_json(F.col("fields")["attributes"], "map<string,string>")).alias("k", "v")).filter("k <> 'cim_class'")
-    values = F.coalesce(F.from_json("v", "array<string>"), F.array("v"))
-    entries = entries.select("own", "class", "k", F.posexplode(values).alias("i", "x"))
-    out.append(rows(entries, F.col("own"), F.col("class"), full_key(F.col("k"), F.col("class")), F.col("x"), False, F.col("i")))
-
-    owner = dev.select("file_id", F.col("path").alias("parent_path"), "own")
-    sat = n.filter("kind = 'satellite'").join(owner, ["file_id", "parent_path"]).withColumn("sid", F.concat("own", F.lit("-SAT"), F.element_at("label", -1).cast("string")))
-    out.append(rows(sat, F.col("sid"), F.col("class"), F.concat("class", F.lit(".Owner")), F.col("own"), True))
-    vals = n.filter("kind = 'satellite_attribute'").select("file_id", "parent_path", "key", "value").join(sat.select("file_id", F.col("path").alias("parent_path"), "sid", "class"), ["file_id", "parent_path"])
-    out.append(rows(vals, F.col("sid"), F.col("class"), full_key(F.col("key"), F.col("class")), F.col("value"), False))
-    every = out[0]
-    for o in out[1:]:
-        every = every.unionByName(o)
-    return every.distinct()
-
-
-def export(container: DataFrame, equipment: DataFrame, edges: DataFrame, attributes: DataFrame, satellites: DataFrame, regions: DataFrame | None = None) -> DataFrame:
-    """(path, kind, body): one document per top container, in a form that classify and facts read back.
-
-    container(id, type, parent_id), equipment(id, container_id, class), edges(equipment_id, t1, t2), attributes(owner_id, key,
-    value), satellites(owner_id, seq, class, attributes map), regions(id, region) or `default` for all. Bays and their
-    equipment stand in their station's document, cables as segments, GND is left out, ids of the container's own are
-    shortened to `@...`. Equipment without a known container comes out in one boundary document.
+    if key == "name":
+        return "IdentifiedObject.name"
+    if "." in key:
+        return key
+    return f"{own if own.startswith('Sv') else CLASS_OF_KEY.get(key, own)}.{key}"
+
+
+def _dict(x: object) -> dict:
+    return x if isinstance(x, dict) else {}
+
+
+def _list(x: object) -> list:
+    return x if isinstance(x, list) else [] if x is None else [x]
+
+
+class _Document:
+    """One parsed body, walked once; rows() gives its facts and problems() what is wrong in it."""
+
+    def __init__(self, container: str, kind: str, dialect: int, resolve: Callable[[str], str]):
+        self.container, self.kind, self.dialect = container, kind, dialect
+        self.resolve = lambda x: GROUND if x == GROUND else resolve(str(x))
+        self.facts: list[tuple] = []
+        self.problems: list[str] = []
+
+    def fact(self, id_: str, class_: str, attribute: str, value: object, reference: bool = False, seq: int = 0) -> None:
+        text = value_text(value)
+        if text is not None:
+            self.facts.append((id_, class_, attribute, text, reference, seq))
+
+    def attributes(self, id_: str, class_: str, entries: object, keyed: bool = True) -> None:
+        """The entries of an attribute map, a list as one fact each; keyed: bare keys get their class (dialect 2)."""
+        for k, v in _dict(entries).items():
+            key = full_key(k, class_) if keyed and self.dialect == 2 else k
+            for i, x in enumerate(v if isinstance(v, list) else [v]):
+                kilo = key in KILO_KEYS and isinstance(x, int | float) and not isinstance(x, bool)
+                self.fact(id_, class_, key, x / 1000 if kilo else x, seq=i)
+
+    def place(self, id_: str, class_: str, geometry: object) -> None:
+        """A location with its points in order; a point needs both coordinates, points without are left out."""
+        points = [p for p in map(_dict, _list(geometry)) if all(isinstance(p.get(c), int | float) and not isinstance(p.get(c), bool) for c in ("lat", "lon"))]
+        if points:
+            where = f"{id_}-LOC"
+            self.fact(id_, class_, "PowerSystemResource.Location", where, True)
+            for i, p in enumerate(points, 1):
+                at = f"{where}-PP{i}"
+                self.fact(at, "PositionPoint", "PositionPoint.Location", where, True)
+                for name, x in (("sequenceNumber", i), ("xPosition", float(p["lon"])), ("yPosition", float(p["lat"]))):
+                    self.fact(at, "PositionPoint", f"PositionPoint.{name}", x)
+
+    def ends(self, id_: str, nodes: list[str], least: int) -> None:
+        if not least <= len(nodes) <= 2:
+            self.problems.append(f"{id_}: connects must name 1 or 2 nodes, not {len(nodes)}")
+            return
+        for i, node in enumerate(nodes, 1):
+            end = f"{id_}-T{i}"
+            self.fact(end, "Terminal", "Terminal.ConductingEquipment", id_, True)
+            self.fact(end, "Terminal", "Terminal.ConnectivityNode", node, True)
+            self.fact(end, "Terminal", "ACDCTerminal.sequenceNumber", i)
+
+    def satellites(self, id_: str, item: dict) -> None:
+        """The item's satellites, and those that its schedules and steps stand for; numbered through, so that none shares an id."""
+        own = [(s.get("class"), s.get("attributes")) for s in map(_dict, _list(item.get("satellites"))) if s]
+        if self.dialect == 2:
+            name = _dict(item.get("attributes")).get("name")
+            for field in ("measuring", "transmission"):
+                if isinstance(schedule := item.get(field), dict):
+                    own.append(("TimeSchedule", schedule if "name" in schedule or name is None else schedule | {"name": name}))
+            steps = [x for x in _list(item.get("steps")) if isinstance(x, int | float) and not isinstance(x, bool)]
+            own += [("DiscreteControlLimit", {"name": f"{id_}-{i}", "DiscreteControlLimit.sequenceNumber": str(i), "DiscreteControlLimit.value": number(x)}) for i, x in enumerate(steps, 1)]
+        for i, (class_, entries) in enumerate(own):
+            sat, class_ = f"{id_}-SAT{i}", str(class_ or "Satellite")
+            self.fact(sat, class_, "Satellite.Of", id_, True)
+            self.attributes(sat, class_, entries)
+
+    def item(self, id_: str, class_: str, item: dict, holder: str | None, nodes: list[str] | None, least: int) -> None:
+        self.fact(id_, class_, "Equipment.EquipmentContainer", holder, True)
+        self.attributes(id_, class_, item.get("attributes"))
+        self.satellites(id_, item)
+        if self.dialect == 2:
+            self.place(id_, class_, item.get("geometry"))
+        if nodes is not None:
+            self.ends(id_, nodes, least)
+
+    def equipment(self, found: object, holder: str | None) -> None:
+        for e in map(_dict, _list(found)):
+            if not e:
+                continue
+            name = e.get("id")
+            if not e.get("class") or name is None:
+                self.problems.append(f"equipment {name}: no class" if name is not None else "equipment without id")
+                continue
+            nodes = [self.resolve(n) for n in _list(e.get("connects")) if n is not None]
+            self.item(self.resolve(name), str(e["class"]), e, holder, nodes, 0 if self.dialect == 2 else 1)
+
+    def segments(self, found: object) -> None:
+        for s in map(_dict, _list(found)):
+            if s and s.get("id") is not None:
+                nodes = [self.resolve(s[k]) for k in ("from", "to") if s.get(k) is not None]
+                self.item(self.resolve(s["id"]), "ACLineSegment", s, None, nodes, 0 if self.dialect == 2 else 1)
+            elif s:
+                self.problems.append("segment without id")
+
+    def busbars(self, found: object) -> None:
+        """Each busbar is a voltage level of its own. Dialect 2: its id names its one node, shared by its sections, whose ids
+        are its own and a number; dialect 1: each section is a node."""
+        for bus in map(_dict, _list(found)):
+            name = bus.get("id")
+            if name is None:
+                continue
+            node = self.resolve(name)
+            level = f"{node}-VL" if self.dialect == 2 else node
+            self.fact(level, "VoltageLevel", "VoltageLevel.Substation", self.container, True)
+            self.fact(level, "VoltageLevel", "IdentifiedObject.name", name)
+            for sec in map(_dict, _list(bus.get("sections"))):
+                if sec.get("id") is None:
+                    continue
+                own = self.resolve(f"{name}-{value_text(sec['id'])}") if self.dialect == 2 else self.resolve(sec["id"])
+                # What all sections share stands at the busbar; a section's own entry goes before it.
+                shared = {k: v for k, v in _dict(bus.get("attributes")).items() if k not in _dict(sec.get("attributes"))} if self.dialect == 2 else {}
+                self.item(own, "BusbarSection", sec | {"attributes": shared | _dict(sec.get("attributes"))}, level, [node if self.dialect == 2 else own], 1)
+
+    def walk(self, body: dict) -> None:
+        box = self.container
+        own = body.get("equipments", body.get("equipment"))
+        if self.kind in ("Substation", "Building"):
+            self.fact(box, self.kind, "IdentifiedObject.name", box)
+            self.attributes(box, self.kind, body.get("attributes"), keyed=False)
+            self.place(box, self.kind, body.get("geometry"))
+        if self.kind == "Substation":
+            self.busbars(body.get("busbars"))
+            for bay in map(_dict, _list(body.get("bays"))):
+                if bay.get("id") is not None:
+                    at = self.resolve(bay["id"])
+                    self.fact(at, "Feeder", "Feeder.NormalEnergizingSubstation", box, True)
+                    title = _dict(bay.get("attributes")).get("name") if self.dialect == 2 else None
+                    self.fact(at, "Feeder", "IdentifiedObject.name", title if isinstance(title, str) and title else bay["id"])
+                    self.equipment(bay.get("equipments", bay.get("equipment")), at)
+        if self.kind == "Building" or self.dialect == 2 and self.kind in ("Substation", "Boundary"):
+            self.equipment(own, None if self.kind == "Boundary" else box)
+        if self.kind == "ACLine" or self.dialect == 2 and self.kind == "Substation":
+            self.segments(body.get("segments"))
+
+
+def _clean(x: object) -> object:
+    return x.encode("utf-8", "replace").decode() if isinstance(x, str) and not x.isascii() else x
+
+
+def _walked(files: DataFrame, version: int, dialect: int, known: DataFrame | None) -> DataFrame:
+    """The facts of all files, and one row with a message for each problem."""
+    rows = files.select("file_id", F.col("path").alias("source_file"), "container_id", "class_", "body")
+    if known is not None:
+        rows = rows.join(known, "file_id", "left").select(*rows.columns, F.coalesce("names", F.array().cast("array<string>")).alias("names"))
+    schema = pa.schema([("id", pa.string()), ("class", pa.string()), ("attribute", pa.string()), ("value", pa.string()), ("is_reference", pa.bool_()), ("seq", pa.int32()), ("source_file", pa.string()), ("message", pa.string())])
+
+    def documents(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for r in batch.to_pylist():
+            box = r["container_id"]
+            if dialect == 2:
+                resolve = lambda n, box=box: local_id(n, box)
+            else:
+                resolve = lambda n, box=box, names=frozenset(r["names"]): n if n in names else f"{box}-{n}"
+            doc = _Document(box, r["class_"], dialect, resolve)
+            try:
+                body = read(r["body"] or "")
+                if not isinstance(body, dict):
+                    raise ValueError("not an object")
+                doc.walk(body)
+            except ValueError as e:
+                doc.facts.clear()
+                doc.problems = [str(e)]
+            for f in doc.facts:
+                yield *map(_clean, f), r["source_file"], None
+            for p in doc.problems:
+                yield None, None, None, None, False, 0, r["source_file"], _clean(p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part: list[tuple] = []
+        for b in batches:
+            for f in documents(b):
+                part.append(f)
+                if len(part) >= FACTS_PER_BATCH:
+                    yield _batch(part, schema)
+                    part = []
+        if part:
+            yield _batch(part, schema)
+
+    out = spread(rows).mapInArrow(run, "id string, class string, attribute string, value string, is_reference boolean, seq int, source_file string, message string")
+    return out.select(F.lit(version).cast("bigint").alias("version"), "id", F.lit("EQ").alias("profile"), "class", "attribute", "value", "is_reference", "seq", "source_file", "message")
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def names_of(files: DataFrame) -> DataFrame:
+    """(file_id, name): every name that a file of dialect 1 gives to something or refers to."""
+    fields = ("id", "from", "to", "connects")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for r in b.to_pylist():
+                try:
+                    todo = [read(r["body"] or "")]
+                except ValueError:
+                    continue
+                found: set[str] = set()
+                while todo:
+                    x = todo.pop()
+                    todo += x.values() if isinstance(x, dict) else x if isinstance(x, list) else []
+                    if isinstance(x, dict):
+                        found.update(str(v) for f in fields for v in _list(x.get(f)) if v is not None and not isinstance(v, dict | list))
+                out += [(r["file_id"], _clean(n)) for n in found]
+            yield _batch(out, pa.schema([b.schema.field("file_id"), ("name", pa.string())])) if out else pa.RecordBatch.from_pylist([], pa.schema([b.schema.field("file_id"), ("name", pa.string())]))
+
+    kind = files.schema["file_id"].dataType.simpleString()
+    return spread(files.select("file_id", "body")).mapInArrow(run, f"file_id {kind}, name string")
+
+
+def known_names(names: DataFrame, containers: DataFrame) -> DataFrame:
+    """(file_id, name) of the names that are a container's id or begin with one and `-` (containers: column id).
+
+    A name is looked up by each of its beginnings before a `-`, so this is one equi-join whatever the number of containers;
+    which of several that fit is the longest doesn't matter, the name stays as it is.
     """
-    tops = container.filter(F.col("type").isin(*FOLDER)).select(F.col("id").alias("top"), F.col("type").alias("top_type"))
-    inner = container.filter(F.col("type") == "bay").select(F.col("id").alias("container_id"), F.col("parent_id").alias("top"))
-    home = tops.select(F.col("top").alias("container_id"), "top").withColumn("bay", F.lit(None).cast("string")).unionByName(inner.withColumn("bay", F.col("container_id")))
-    short = lambda c: F.when(F.col(c).startswith(F.concat("top", F.lit("-"))), F.concat(F.lit("@"), F.substring(F.col(c), F.length("top") + 2, F.length(c)))).otherwise(F.col(c))
-
-    attrs = attributes.groupBy("owner_id", "key").agg(F.sort_array(F.collect_list("value")).alias("v")).groupBy("owner_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", F.to_json("v").alias("v"))))).alias("attributes"))
-    sats = satellites.groupBy("owner_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", F.col("class"), F.to_json("attributes").alias("a")))), lambda s: F.struct(s["class"].alias("class"), F.from_json(s["a"], "map<string,string>").alias("attributes"))).alias("satellites"))
-    e = equipment.join(home, "container_id", "left").join(edges.select(F.col("equipment_id").alias("id"), "t1", "t2"), "id").join(attrs.withColumnRenamed("owner_id", "id"), "id", "left").join(sats.withColumnRenamed("owner_id", "id"), "id", "left")
-    e = e.withColumn("top", F.coalesce("top", F.lit("boundary")))
-    ends = F.filter(F.array(short("t1"), short("t2")), lambda c: c.isNotNull() & (c != "GND"))
-    plain = F.transform_values("attributes", lambda _, v: F.from_json(v, "array<string>"))
-    cable = F.col("class") == "ACLineSegment"
-    item = F.struct(short("id").alias("id"), F.col("class").alias("class"), ends.alias("connects"), plain.alias("attributes"), F.col("satellites"))
-    line = F.struct(short("id").alias("id"), short("t1").alias("from"), short("t2").alias("to"), plain.alias("attributes"), F.col("satellites"))
-    e = e.select("top", F.when(F.col("bay").isNotNull(), short("bay")).alias("bay"), cable.alias("cable"), F.to_json(item).alias("item"), F.to_json(line).alias("line"))
-    # JSON texts are put together as texts: maps cannot be ordered, and a body is text in the end.
-    bag = lambda c: F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(c)), ","), F.lit("]"))
-    bays = e.filter("bay IS NOT NULL AND NOT cable").groupBy("top", "bay").agg(bag("item").alias("items")).groupBy("top").agg(bag(F.concat(F.lit('{"id":'), F.expr("to_json(named_struct('b', bay))").substr(F.lit(6), F.length(F.expr("to_json(named_struct('b', bay))")) - 6), F.lit(',"equipments":'), "items", F.lit("}"))).alias("bays"))
-    own = e.filter("bay IS NULL AND NOT cable").groupBy("top").agg(bag("item").alias("equipments"))
-    lines = e.filter("cable").groupBy("top").agg(bag("line").alias("segments"))
-    docs = e.select("top").distinct().join(tops, "top", "left").join(bays, "top", "left").join(own, "top", "left").join(lines, "top", "left")
-    none = F.lit("[]")
-    body = F.concat(F.lit('{"bays":'), F.coalesce("bays", none), F.lit(',"equipments":'), F.coalesce("equipments", none), F.lit(',"segments":'), F.coalesce("segments", none), F.lit("}"))
-    folder = F.coalesce(F.try_element_at(F.create_map(*(x for t, k in FOLDER.items() for x in (F.lit(t), F.lit(k)))), F.col("top_type")), F.lit("Grenzknoten"))
-    if regions is not None:
-        docs = docs.join(regions.select(F.col("id").alias("top"), "region"), "top", "left")
-    else:
-        docs = docs.withColumn("region", F.lit(None).cast("string"))
-    return docs.select(F.concat(F.coalesce("region", F.lit("default")), F.lit("/"), folder, F.lit("/"), "top", F.lit(".hjson")).alias("path"), folder.alias("kind"), body.alias("body"))
+    parts = F.split("name", "-")
+    starts = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "-"))
+    tried = names.withColumn("id", F.explode(starts))
+    return tried.join(containers.select("id").dropna().distinct(), "id", "left_semi").select("file_id", "name").distinct()
+
+
+def split_facts(files: DataFrame, version: int, dialect: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Facts (FACT) and errors (version, source_file, message) of classified files (see classify), each parsed once.
+
+    A body that cannot be read is one error and gives no facts; equipment without class or with more than two connections
+    is an error of its own, the rest of its document stays. Repeated files count once.
+    """
+    if dialect not in (1, 2):
+        raise ValueError("there are dialects 1 and 2")
+    known = None
+    if dialect == 1:
+        names = known_names(names_of(files), files.select(F.col("container_id").alias("id")))
+        known = names.groupBy("file_id").agg(F.collect_set("name").alias("names"))  # of one file
+    both = cut(_walked(files, version, dialect, known))
+    facts = both.filter("message IS NULL").drop("source_file", "message").distinct()
+    return facts, both.filter("message IS NOT NULL").select("version", "source_file", "message").distinct()
+
+
+def facts(files: DataFrame, version: int, dialect: int = 2) -> DataFrame:
+    return split_facts(files, version, dialect)[0]
+
+
+def facts_and_errors(files: DataFrame, version: int, dialect: int = 2) -> tuple[DataFrame, DataFrame]:
+    """classify and split_facts in one: the facts of a tree, and all errors (version, source_file, message) of paths and bodies."""
+    good, wrong = classify(files)
+    found, problems = split_facts(good, version, dialect)
+    return found, problems.unionByName(wrong.select(F.lit(version).cast("bigint").alias("version"), "source_file", "message").distinct())
+
+
+def key_class(key: Column, own: Column) -> Column:
+    """full_key as a column expression."""
+    table = F.create_map(*(x for k, c in CLASS_OF_KEY.items() for x in (F.lit(k), F.lit(c))))
+    cls = F.when(own.startswith("Sv"), own).otherwise(F.coalesce(F.try_element_at(table, key), own))
+    return F.when(key == "name", F.lit("IdentifiedObject.name")).when(F.contains(key, F.lit(".")), key).otherwise(F.concat(cls, F.lit("."), key))

@@ -51,25 +51,6 @@ def test_register_zip(spark, tmp_path):
     assert rows.filter("dataset = 'Other' AND error IS NOT NULL").count() == 1
 
 
-def test_documents_round_trip(spark):
-    container = spark.createDataFrame([("S1", "substation", None), ("S1-F1", "bay", "S1"), ("K1", "acline", None), ("H1", "house", None)], "id string, type string, parent_id string")
-    equipment = spark.createDataFrame([("S1-e1", "S1", "PowerTransformer"), ("S1-e2", "S1-F1", "Fuse"), ("c1", "K1", "ACLineSegment"), ("H1-m", "H1", "Meter"), ("b1", None, "Junction2")], "id string, container_id string, class string")
-    edges = spark.createDataFrame([("S1-e1", "n0", "S1-n1"), ("S1-e2", "S1-n1", "n2"), ("c1", "n2", "n3"), ("H1-m", "n3", "GND"), ("b1", "n0", "n9")], "equipment_id string, t1 string, t2 string")
-    attributes = spark.createDataFrame([("S1-e2", "Switch.normalOpen", "false"), ("S1-e2", "Fuse.r", "1"), ("S1-e2", "Fuse.r", "2"), ("c1", "name", 'say "x"')], "owner_id string, key string, value string")
-    satellites = spark.createDataFrame([("H1-m", 0, "UsagePoint", {"UsagePoint.ratedPower": "5"})], "owner_id string, seq int, class string, attributes map<string,string>")
-    docs = documents.export(container, equipment, edges, attributes, satellites).withColumn("file_id", F.col("path"))
-    assert {r.path for r in docs.collect()} == {"default/ONS/S1.hjson", "default/Kabel/K1.hjson", "default/Haushalte/H1.hjson", "default/Grenzknoten/boundary.hjson"}
-    good, bad = documents.classify(docs)
-    assert bad.count() == 0
-    facts = documents.facts(good, 3)
-    t = tm.terminal_table(facts)
-    back = tm.model_edges(tm.classify(t, tm.class_of(facts)))
-    assert bag(back.select("equipment_id", "t1", "t2")) == bag(edges)
-    rows = {(r.id, r.attribute, r.value, r.seq) for r in facts.filter("NOT is_reference").collect()}
-    assert {("S1-e2", "Switch.normalOpen", "false", 0), ("S1-e2", "Fuse.r", "1", 0), ("S1-e2", "Fuse.r", "2", 1), ("c1", "IdentifiedObject.name", 'say "x"', 0), ("H1-m-SAT0", "UsagePoint.ratedPower", "5", 0)} <= rows
-    assert {r.value for r in facts.filter("id = 'S1-e2' AND attribute = 'Equipment.EquipmentContainer'").collect()} == {"S1-F1"}
-
-
 def test_document_paths(spark):
     rows = [("a", "r/ONS/x.hjson"), ("b", "r/ONS"), ("c", "r/Nix/y.hjson"), ("d", "interregional/ONS/z.hjson"), ("e", "interregional/Kabel/k.hjson"), ("f", "r/KVS/d.hjson"), ("g", "q/KVS/d.hjson"), ("h", None)]
     good, bad = documents.classify(spark.createDataFrame([(*r, "{}") for r in rows], "file_id string, path string, body string"))
