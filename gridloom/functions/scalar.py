@@ -42,9 +42,8 @@ def reference_id(c: Column) -> Column:
 
 
 def station_kind(c: Column) -> Column:
-    """Container type by the name of the station's category, whatever its case and blanks."""
-    name = F.regexp_replace(F.lower(c), r"\s+", "")
-    return F.when(name.isin("kabelverteiler", "kabelverteilerschrank", "kvs", "distributionbox"), "distribution-box").otherwise("substation")
+    """Container type by the name of the station's category, whatever its case and blanks; without one a substation."""
+    return F.when(F.regexp_replace(F.lower(c), r"\s+", "") == "distributionbox", "distribution-box").otherwise("substation")
 
 
 def mapped(c: Column, mapping: Mapping[str, str], default: str | None = None) -> Column:

@@ -17,7 +17,14 @@ from gridloom.operators.widen import DOUBLE
 OBJECT = ["version", "id"]
 FACT = ["version", "id", "profile", "class", "attribute", "value", "is_reference", "seq"]
 #: Relations that describe the grid's wiring and containment, not an object's properties.
-TOPOLOGY_ATTRIBUTES = ("Terminal.ConductingEquipment", "Terminal.ConnectivityNode", "Terminal.TopologicalNode", "Equipment.EquipmentContainer", "ConnectivityNode.ConnectivityNodeContainer")
+TOPOLOGY_ATTRIBUTES = ("Terminal.ConductingEquipment", "Terminal.ConnectivityNode", "ConnectivityNode.ConnectivityNodeContainer", "Equipment.EquipmentContainer", "Bay.VoltageLevel")
+#: Classes that many objects share or that describe the grid's structure; and classes of drawings. No walk visits them.
+STRUCTURAL_CLASSES = (
+    "Terminal", "ConnectivityNode", "Substation", "VoltageLevel", "Bay", "Feeder", "Building", "Line", "ControlArea", "BaseVoltage", "InstanceSet", "CoordinateSystem", "PerLengthSequenceImpedance", "PSRType", "GeographicalRegion",
+    "SubGeographicalRegion", "NameType", "NameTypeAuthority", "OperationalLimitType", "EnergySchedulingType", "RatioTapChangerTable", "RatioTapChangerTablePoint", "PhaseTapChangerTable", "PhaseTapChangerTablePoint", "TopologicalIsland",
+    "LoadArea", "SubLoadArea", "BasePower", "LoadResponseCharacteristic", "DiagramObjectStyle", "CommunicationLink", "RemoteUnit", "RemoteSource",
+)
+DRAWING_CLASSES = ("Diagram", "DiagramObject", "DiagramObjectPoint")
 #: The reference of a power-electronics unit (PV unit, battery, wallbox) to the connection that it belongs to.
 UNIT_OF = "PowerElectronicsUnit.PowerElectronicsConnection"
 
@@ -71,7 +78,7 @@ def switch_states(facts: DataFrame) -> DataFrame:
     return there.groupBy(*OBJECT).agg((F.coalesce(F.lower(state), F.lit("false")) == "true").alias("is_open"))
 
 
-def attribute_walk(facts: DataFrame, owners: DataFrame, skipped_classes: Sequence[str], skipped_attributes: Sequence[str] = TOPOLOGY_ATTRIBUTES) -> DataFrame:
+def attribute_walk(facts: DataFrame, owners: DataFrame, skipped_classes: Sequence[str] = STRUCTURAL_CLASSES + DRAWING_CLASSES, skipped_attributes: Sequence[str] = TOPOLOGY_ATTRIBUTES) -> DataFrame:
     """(version, owner_id, id): the objects that an owner's references lead to, in both directions, for satellites.
 
     A walk from each owner (version, id) over references other than the skipped attributes; objects of a skipped class or

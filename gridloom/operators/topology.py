@@ -33,7 +33,7 @@ def with_overrides(edges: DataFrame, overrides: DataFrame, scenario: Sequence[st
 
 def _joined(edges: DataFrame, connects: Column, scope: Sequence[str]) -> DataFrame:
     """Components over the connecting edges; the ends of the others are nodes of their own."""
-    t2 = F.when(connects, F.col("t2"))
+    t2 = F.when(connects & (F.col("t2") != ""), F.col("t2"))
     ends = edges.select(*scope, F.col("t1").alias("a"), t2.alias("b")).union(edges.select(*scope, F.col("t2"), F.lit(None).cast("string")))
     return components(ends.filter(F.col("a") != ""), "a", "b", scope)
 
@@ -52,7 +52,9 @@ def circuits(edges: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 def edge_circuits(edges: DataFrame, circuit_nodes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """(*scope, equipment_id, circuit_id): the one or two circuits an edge touches; edges at GND only touch none."""
-    ends = edges.select(*scope, "equipment_id", F.explode(F.array("t1", "t2")).alias("node"))
+    ends = edges.select(*scope, "equipment_id", F.explode(F.array_distinct(F.array("t1", "t2"))).alias("node"))
+    # GND, the greatest hub, is in no circuit; its edges need not travel to it.
+    ends = ends.filter(F.col("node").isNotNull() & (F.col("node") != GROUND) & (F.col("node") != ""))
     return ends.join(circuit_nodes, [*scope, "node"]).select(*scope, "equipment_id", "circuit_id").distinct()
 
 
@@ -98,19 +100,20 @@ def reachable_nodes(edges: DataFrame, seeds: DataFrame, through_ground: bool = T
     return reachable(edges.filter("t1 <> '' AND t2 <> ''"), seeds, "t1", "t2", () if through_ground else (GROUND,))
 
 
-def cable_chains(segments: DataFrame) -> DataFrame:
-    """(equipment_id, chain_id, chain_name): cable segments (equipment_id, t1, t2) joined where exactly two ends meet.
+def cable_chains(segments: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """(*scope, equipment_id, chain_id, chain_name): cable segments (*scope, equipment_id, t1, t2) joined where exactly two ends meet.
 
     One end or three end a chain. A segment with both ends on one node counts twice there and joins nothing. The id names
     the least and the greatest segment of the chain.
     """
-    ends = segments.select("equipment_id", F.posexplode(F.array("t1", "t2")).alias("side", "node")).filter(F.col("node").isNotNull() & (F.col("node") != ""))
-    joints = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("equipment_id").alias("a"), F.max("equipment_id").alias("b")).filter("n = 2 AND a <> b")
-    links = segments.select(F.col("equipment_id").alias("a"), F.lit(None).cast("string").alias("b")).union(joints.select("a", "b"))
-    of = components(links, "a", "b").withColumnRenamed("node", "equipment_id")
-    spans = of.groupBy("component").agg(F.min("equipment_id").alias("lo"), F.max("equipment_id").alias("hi"))
+    scope = list(scope)
+    ends = segments.select(*scope, "equipment_id", F.posexplode(F.array("t1", "t2")).alias("side", "node")).filter(F.col("node").isNotNull() & (F.col("node") != ""))
+    joints = ends.groupBy(*scope, "node").agg(F.count(F.lit(1)).alias("n"), F.min("equipment_id").alias("a"), F.max("equipment_id").alias("b")).filter("n = 2 AND a <> b")
+    links = segments.select(*scope, F.col("equipment_id").alias("a"), F.lit(None).cast("string").alias("b")).union(joints.select(*scope, "a", "b"))
+    of = components(links, "a", "b", scope).withColumnRenamed("node", "equipment_id")
+    spans = of.groupBy(*scope, "component").agg(F.min("equipment_id").alias("lo"), F.max("equipment_id").alias("hi"))
     chain = F.concat(F.lit("acline:"), "lo", F.lit(":"), "hi")
-    return of.join(spans, "component").select("equipment_id", chain.alias("chain_id"), F.concat(F.lit("ACLine "), F.substring("lo", 1, 8)).alias("chain_name"))
+    return of.join(spans, [*scope, "component"]).select(*scope, "equipment_id", chain.alias("chain_id"), F.concat(F.lit("ACLine "), F.substring("lo", 1, 8)).alias("chain_name"))
 
 
 def node_chains(segments: DataFrame, chains: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-NAMES = ["problems", "graph", "staging", "views", "register", "flow"]
+NAMES = ["problems", "graph", "staging", "model", "views", "register", "flow"]
 
 
 def registered() -> list:
