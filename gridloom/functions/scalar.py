@@ -7,15 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-#: Units of the attributes that have one.
-UNITS = {
-    "r": "ohm", "x": "ohm", "r0": "ohm", "x0": "ohm", "bch": "S", "gch": "S", "length": "m", "ratedCurrent": "A", "nominalCurrent": "A",
-    "ratedU": "kV", "nominalVoltage": "kV", "ratedS": "MVA", "maxP": "MW", "minP": "MW",
-}
-#: Attributes that documents give in kW and the model keeps in MW.
-KILOWATT_KEYS = ("PowerElectronicsUnit.maxP", "PowerElectronicsUnit.minP", "UsagePoint.ratedPower", "EnergyConsumer.p", "EnergyConsumer.q")
-
-
 def ext_id(c: Column) -> Column:
     """Text to BIGINT: the first 16 hex digits of its MD5 as a signed number."""
     return F.conv(F.substring(F.md5(c), 1, 16), 16, -10).cast("bigint")
@@ -54,12 +45,17 @@ def mapped(c: Column, mapping: Mapping[str, str], default: str | None = None) ->
 
 
 def nominal_kv(name: Column) -> Column:
-    """Nominal voltage from a name such as `110 kV`, `BV-20000` (volt) or `NE_0.4`."""
-    kv = F.regexp_extract(name, r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*kv", 1)
-    volt = F.regexp_extract(name, r"(?i)BV-0*([0-9]+)", 1)
-    last = F.regexp_extract(name, r"_([0-9]+(?:\.[0-9]+)?)$", 1)
-    number = lambda c: F.regexp_replace(F.nullif(c, F.lit("")), ",", ".").try_cast("double")
-    return F.coalesce(number(kv), number(volt) / 1000, number(last))
+    """Nominal voltage in kV from the name of a voltage level: a number before `KV` at the end, or after `VL` or `VL_` at the beginning."""
+    up = F.upper(name)
+    number = lambda c: F.nullif(c, F.lit("")).try_cast("double")
+    return F.coalesce(number(F.regexp_extract(up, r"([0-9]+(?:\.[0-9]+)?)\s*KV\s*$", 1)), number(F.regexp_extract(up, r"^VL_?([0-9]+(?:\.[0-9]+)?)(?:_|$)", 1)))
+
+
+def number_or(c: Column, default: float | None) -> Column:
+    """A literal as a number, or the default where it is none."""
+    text = F.trim(c)
+    fits = text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$")
+    return F.coalesce(F.when(fits, text.try_cast("double")), F.lit(default).cast("double"))
 
 
 def dump_date(file_name: Column) -> Column:

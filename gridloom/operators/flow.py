@@ -133,7 +133,9 @@ def newton_raphson(y: np.ndarray, v: np.ndarray, p: np.ndarray, q: np.ndarray, p
         wrong = np.r_[(s.real - p)[free], (s.imag - q)[pq]]
         if np.abs(wrong).max(initial=0) < tolerance:
             return v, True
-        unit = v / np.abs(v)
+        if not np.isfinite(size).all() or (size == 0).any():
+            return v, False
+        unit = np.exp(1j * angle)
         by_angle = 1j * np.diag(v) @ np.conj(np.diag(y @ v) - y @ np.diag(v))
         by_size = np.diag(v) @ np.conj(y @ np.diag(unit)) + np.conj(np.diag(y @ v)) @ np.diag(unit)
         j = np.block([[by_angle.real[np.ix_(free, free)], by_size.real[np.ix_(free, pq)]], [by_angle.imag[np.ix_(pq, free)], by_size.imag[np.ix_(pq, pq)]]])
@@ -150,7 +152,8 @@ def ac_flow(buses: DataFrame, branches: DataFrame) -> DataFrame:
     """(network, bus_id, vm_pu, va_degree, p_mw, converged) of every network.
 
     buses: network, bus_id, kind (slack, pv, pq), vm_pu, p_mw, q_mvar as injections; branches: network, from_bus, to_bus,
-    r_pu, x_pu, b_pu on a base of 100 MVA. A network without slack takes its least bus. Branches to unknown buses are left out.
+    r_pu, x_pu, b_pu and, if there, g_pu and ratio (of the first bus) on a base of 100 MVA. A network without slack takes its least bus. Branches to unknown buses are left out; buses that no branch joins to a slack
+    are not solved: their voltage is null and they take nothing.
     """
     base = 100.0
 
@@ -163,18 +166,29 @@ def ac_flow(buses: DataFrame, branches: DataFrame) -> DataFrame:
         at = {b: i for i, b in enumerate(own.bus_id)}
         br = br[br.from_bus.isin(at) & br.to_bus.isin(at)]
         y = np.zeros((len(own), len(own)), dtype=complex)
-        for f, t, r, x, b in zip(br.from_bus, br.to_bus, br.r_pu, br.x_pu, br.b_pu, strict=True):
-            i, k, s = at[f], at[t], 1 / complex(r, x)
-            y[i, i] += s + 0.5j * b
-            y[k, k] += s + 0.5j * b
-            y[i, k] -= s
-            y[k, i] -= s
+        g, a = (br[c].fillna(d).to_numpy(float) if c in br else np.full(len(br), d) for c, d in (("g_pu", 0.0), ("ratio", 1.0)))
+        # Shared places add up in the order of the rows, without a loop over branches.
+        i, k = br.from_bus.map(at).to_numpy(int), br.to_bus.map(at).to_numpy(int)
+        s = 1 / (br.r_pu.to_numpy(float) + 1j * br.x_pu.to_numpy(float))
+        own_y = s + 0.5 * g + 0.5j * br.b_pu.to_numpy(float)
+        np.add.at(y, (i, i), own_y / a**2)
+        np.add.at(y, (k, k), own_y)
+        np.add.at(y, (i, k), -s / a)
+        np.add.at(y, (k, i), -s / a)
         kind = own.kind.to_numpy(object)
         if not (kind == "slack").any():
             kind[0] = "slack"
+        fed = kind == "slack"
+        while (more := fed | ((y != 0) @ fed)).sum() > fed.sum():
+            fed = more
         set_v = np.where(kind == "pq", 1.0, own.vm_pu.fillna(1.0).to_numpy(float)).astype(complex)
-        v, ok = newton_raphson(y, set_v, own.p_mw.fillna(0).to_numpy(float) / base, own.q_mvar.fillna(0).to_numpy(float) / base, np.flatnonzero(kind == "pv"), np.flatnonzero(kind == "pq"))
-        return pd.DataFrame({"network": key[0], "bus_id": own.bus_id, "vm_pu": np.abs(v), "va_degree": np.degrees(np.angle(v)), "p_mw": (v * np.conj(y @ v)).real * base, "converged": ok})
+        p, q = own.p_mw.fillna(0).to_numpy(float)[fed] / base, own.q_mvar.fillna(0).to_numpy(float)[fed] / base
+        y = y[np.ix_(fed, fed)]
+        solved, ok = newton_raphson(y, set_v[fed], p, q, np.flatnonzero(kind[fed] == "pv"), np.flatnonzero(kind[fed] == "pq"))
+        vm, va, taken = np.full(len(own), np.nan), np.full(len(own), np.nan), np.zeros(len(own))
+        vm[fed], va[fed], taken[fed] = np.abs(solved), np.degrees(np.angle(solved)), (solved * np.conj(y @ solved)).real * base
+        out = pd.DataFrame({"network": key[0], "bus_id": own.bus_id, "vm_pu": vm, "va_degree": va, "p_mw": taken, "converged": ok})
+        return out.astype({"vm_pu": object, "va_degree": object}).where(out.notna(), None)
 
     kinds = f"network {buses.schema['network'].dataType.simpleString()}, bus_id {buses.schema['bus_id'].dataType.simpleString()}"
     # New column identities: the two inputs may come from one table.
