@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.components import components
-from gridloom.operators.staging import OBJECT, first_value, object_class
+from gridloom.operators.staging import FACT, OBJECT, first_value, object_class
 
 GROUND = "GND"
 #: Classes whose terminals only name nodes; any number of terminals is right for them.
@@ -122,5 +122,57 @@ def split_busbars(terminals: DataFrame, busbars: DataFrame) -> DataFrame:
     return rest.unionByName(parts.select(*rest.columns))
 
 
+def nsc_facts(facts: DataFrame) -> DataFrame:
+    """Facts of the second dialect as facts of the first: terminals counted from 1, busbars split into single-terminal copies.
+
+    The n-th terminal of a busbar section, in id order, belongs to its copy `id#n` (the first to `id` itself), is numbered 1,
+    and each copy has all facts of the section. A device with one terminal numbered 0 gets 1; with two numbered 0 and 1, 1
+    and 2; anything else stays as it is. Repeated facts count once.
+    """
+    from pyspark.sql import Window
+
+    facts = facts.select(*FACT).distinct()
+    is_terminal = F.col("class") == "Terminal"
+    t = terminal_table(facts).filter(F.col("equipment_id").isNotNull())
+    busbars = facts.filter("class = 'BusbarSection'").select("version", F.col("id").alias("equipment_id")).distinct()
+    of_bar = t.join(busbars, ["version", "equipment_id"], "left_semi").withColumn("_n", F.row_number().over(Window.partitionBy("version", "equipment_id").orderBy("terminal_id")))
+    copy = F.when(F.col("_n") > 1, F.concat("equipment_id", F.lit("#"), F.col("_n").cast("string"))).otherwise(F.col("equipment_id"))
+    bar = of_bar.select("version", F.col("terminal_id").alias("id"), copy.alias("_copy"), F.lit("1").alias("_seq"))
+    other = t.join(busbars, ["version", "equipment_id"], "left_anti")
+    kind = other.groupBy("version", "equipment_id").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).filter("lo = '0' AND (n = 1 OR n = 2 AND hi = '1')").select("version", "equipment_id")
+    up = other.join(kind, ["version", "equipment_id"], "left_semi").select("version", F.col("terminal_id").alias("id"), F.lit(None).cast("string").alias("_copy"), (F.col("seq").cast("int") + 1).cast("string").alias("_seq"))
+    mine = facts.filter(is_terminal).join(bar.unionByName(up), OBJECT, "left")
+    value = F.when((F.col("attribute") == "Terminal.ConductingEquipment") & F.col("_copy").isNotNull(), F.col("_copy")).when((F.col("attribute") == "ACDCTerminal.sequenceNumber") & F.col("_seq").isNotNull(), F.col("_seq"))
+    mine = mine.withColumn("value", F.coalesce(value, "value")).select(*FACT)
+    copies = of_bar.filter("_n > 1").select("version", F.col("equipment_id").alias("id"), copy.alias("_copy"))
+    more = facts.filter("class = 'BusbarSection'").join(copies, OBJECT).withColumn("id", F.col("_copy")).select(*FACT)
+    return mine.unionByName(facts.filter(~F.coalesce(is_terminal, F.lit(False)))).unionByName(more)
+
+
+def resolve_for(facts: DataFrame, ids: DataFrame) -> DataFrame:
+    """classify for some equipment only (version, id): the facts are filtered to their terminals and to them before anything else.
+
+    Equipment without any terminal comes out with the anomaly `no terminal`.
+    """
+    ids = ids.select(*OBJECT).distinct()
+    own = facts.filter((F.col("attribute") == "Terminal.ConductingEquipment") & (F.col("class") == "Terminal")).select("version", F.col("value").alias("_e"), "id")
+    terminals = own.join(ids.select("version", F.col("id").alias("_e")), ["version", "_e"], "left_semi").select(*OBJECT).distinct()
+    some = facts.join(terminals, OBJECT, "left_semi")
+    classes = class_of(facts.join(ids, OBJECT, "left_semi"))
+    wiring = classify(terminal_table(some), classes)
+    lost = ids.select("version", F.col("id").alias("equipment_id")).join(wiring.select("version", "equipment_id"), ["version", "equipment_id"], "left_anti")
+    lost = lost.join(classes.withColumnRenamed("id", "equipment_id"), ["version", "equipment_id"], "left").withColumn("anomaly", F.lit("no terminal"))
+    return wiring.unionByName(lost, allowMissingColumns=True)
+
+
+def role_nodes(terminals: DataFrame, wiring: DataFrame) -> DataFrame:
+    """(version, equipment_id, no, node): all different nodes of sound node-role devices in order, no from 1; 1 is node1, the others are further nodes."""
+    from pyspark.sql import Window
+
+    sound = wiring.filter("role = 'node' AND anomaly IS NULL").select("version", "equipment_id")
+    nodes = terminals.filter("node IS NOT NULL").join(sound, ["version", "equipment_id"], "left_semi").select("version", "equipment_id", "node").distinct()
+    return nodes.withColumn("no", F.row_number().over(Window.partitionBy("version", "equipment_id").orderBy("node"))).select("version", "equipment_id", "no", "node")
+
+
 def class_of(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*OBJECT).agg(object_class().alias("class"))

@@ -134,11 +134,7 @@ def split(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return facts, raw.filter(F.col("class") == ERROR).select("version", "source_file", "line", "byte_offset", F.col("value").alias("message"))
 
 
-def duplicate_ids(facts: DataFrame) -> DataFrame:
-    """(id, n_files) of objects that several files of one profile define."""
-    return facts.groupBy("id", "profile").agg(F.countDistinct("source_file").alias("n_files")).filter("n_files > 1").select("id", "n_files").distinct()
-
-
-def next_version(facts: DataFrame) -> int:
-    """A version number that was never used: one more than the greatest."""
-    return (facts.agg(F.max("version").alias("v")).first().v or 0) + 1
+def duplicate_ids(facts: DataFrame, by_profile: bool = True) -> DataFrame:
+    """(id, n_files) of objects that several files define; by_profile: files of different profiles may describe the same object."""
+    key = ["id", "profile"] if by_profile else ["id"]
+    return facts.groupBy(*key).agg(F.countDistinct("source_file").alias("n_files")).filter("n_files > 1").groupBy("id").agg(F.max("n_files").alias("n_files"))
