@@ -58,27 +58,32 @@ def number_or(c: Column, default: float | None) -> Column:
     return F.coalesce(F.when(fits, text.try_cast("double")), F.lit(default).cast("double"))
 
 
+_DUMP = r"^Gesamtdatenexport_([0-9]{8})_([0-9]+(?:\.[0-9]+)*)\.zip$"
+
+
 def dump_date(file_name: Column) -> Column:
-    """The day in the name of a register dump, as in `Dump_20240131_23.2.zip`."""
-    return F.to_date(F.nullif(F.regexp_extract(file_name, r"_(\d{8})_", 1), F.lit("")), "yyyyMMdd")
+    """The day in the name of a register dump (`<fixed name>_yyyyMMdd_<version>.zip`); null for any other name or no such day."""
+    return F.try_to_timestamp(F.nullif(F.regexp_extract(file_name, _DUMP, 1), F.lit("")), F.lit("yyyyMMdd")).cast("date")
 
 
 def dump_version(file_name: Column) -> Column:
-    return F.nullif(F.regexp_extract(file_name, r"_\d{8}_([0-9.]*[0-9])", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(file_name, _DUMP, 2), F.lit(""))
 
 
-def truthy(c: Column) -> Column:
-    return F.lower(F.trim(c)).isin("true", "1", "yes")
+def rfc3339(c: Column) -> Column:
+    """A timestamp as text in UTC, whole seconds: `2024-01-31T12:00:00Z`."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def file_name(c: Column) -> Column:
-    """A name that is safe in a path."""
-    return F.translate(c, '/\\:*?"<>|', "_________")
+def from_rfc3339(c: Column) -> Column:
+    """The timestamp in such a text, with `Z` or an offset; null if it is none."""
+    good = c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$")
+    return F.when(good, c.try_cast("timestamp"))
 
 
-def short_id(c: Column, container: Column) -> Column:
-    """`@rest` for an id `<container>-rest`, else the id."""
-    return F.when(c.startswith(F.concat(container, F.lit("-"))), F.concat(F.lit("@"), F.substring(c, F.length(container) + 2, F.length(c)))).otherwise(c)
+def truthy(c: Column) -> Column:
+    """`true`, `1` and `yes` in any letter case, with blanks around."""
+    return F.coalesce(F.lower(F.trim(c)).isin("true", "1", "yes"), F.lit(False))
 
 
 def like_text(c: Column, term: str) -> Column:

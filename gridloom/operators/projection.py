@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.components import components
 from gridloom.functions.scalar import attr_text, ext_id, json_text, mapped
 from gridloom.operators.topology import GROUND, TRANSFORMER, first_per_key
 from gridloom.session import cut
@@ -230,11 +231,29 @@ def measuring_device(m: Model) -> DataFrame:
     )
 
 
-def circuit_rows(nodes: DataFrame, m: Model) -> tuple[DataFrame, DataFrame]:
+def bridge_nodes(m: Model, terminals: DataFrame) -> DataFrame:
+    """(group_id, node): the raw nodes of each busbar without voltage level (`busbar:...`) and of each junction, which are one place.
+
+    terminals: equipment_id, node (terminals.terminal_table of one version): the wiring before nodes were merged.
+    """
+    bars = m.equipment.filter(F.col("container_id").startswith("busbar:")).select(F.col("id").alias("equipment_id"), F.col("container_id").alias("group_id"))
+    junctions = m.classes().filter("cim_class = 'Junction'").select("equipment_id", F.col("equipment_id").alias("group_id"))
+    return terminals.filter("node IS NOT NULL").join(bars.unionByName(junctions), "equipment_id").select("group_id", "node").distinct()
+
+
+def bridged_circuits(nodes: DataFrame, bridges: DataFrame) -> DataFrame:
+    """Circuits (node, circuit_id) joined where a bridge (group_id, node) touches several; a joined circuit has the least id."""
+    touched = bridges.join(nodes, "node").select(F.concat(F.lit("g:"), "group_id").alias("g"), F.concat(F.lit("c:"), "circuit_id").alias("c")).distinct()
+    of = components(touched, "g", "c").filter(F.col("node").startswith("c:")).select(F.expr("substring(node, 3)").alias("circuit_id"), F.expr("substring(component, 3)").alias("joined"))
+    return nodes.join(of, "circuit_id", "left").select("node", F.coalesce("joined", "circuit_id").alias("circuit_id"))
+
+
+def circuit_rows(nodes: DataFrame, m: Model, ends: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(circuit_id, external_id, name) and (circuit_id, device_id): names and member devices of the circuits (node, circuit_id).
 
-    A circuit is named after its least transformer (`<id>-Island`), else its least busbar, else its least house. A
-    transformer or house is a member of the least circuit that it touches, a busbar of all its sections' circuits.
+    A circuit is named after the least end of its transformers (ends: id, name, transformer_id), else after its least
+    transformer, busbar or house; its external id is that id and `-Island`, its name the end's name or the id. A transformer
+    or house is a member of the least circuit that it touches, a busbar of all its sections' circuits.
     """
     t = terminal_index(m).join(nodes.withColumnRenamed("node", "node_id"), "node_id").join(m.container.select(F.col("id").alias("container_id"), "type"), "container_id", "left")
     pick = lambda cond, c: t.filter(cond).select(F.col(c).alias("device_id"), "circuit_id")
@@ -242,9 +261,12 @@ def circuit_rows(nodes: DataFrame, m: Model) -> tuple[DataFrame, DataFrame]:
     members = one(pick(F.col("cim_class") == TRANSFORMER, "equipment_id"), 1)
     members = members.unionByName(pick(F.col("cim_class") == "BusbarSection", "container_id").distinct().withColumn("kind", F.lit(2)))
     members = members.unionByName(one(pick((F.col("type") == "house") & (F.col("cim_class") != TRANSFORMER), "container_id"), 3))
-    named = members.groupBy("circuit_id").agg(F.min(F.struct("kind", "device_id")).alias("n"))
-    name = F.when(F.col("n.kind") == 1, F.concat("n.device_id", F.lit("-Island"))).otherwise(F.col("n.device_id"))
-    return named.select("circuit_id", name.alias("external_id"), name.alias("name")), members.select("circuit_id", "device_id").distinct()
+    candidates = members.select("circuit_id", F.struct("kind", F.col("device_id").alias("id"), F.col("device_id").alias("name")).alias("n"))
+    if ends is not None:
+        of = ends.select(F.col("transformer_id").alias("device_id"), F.struct(F.lit(0).alias("kind"), "id", F.coalesce(F.nullif("name", F.lit("")), "id").alias("name")).alias("n"))
+        candidates = candidates.unionByName(members.filter("kind = 1").join(of, "device_id").select("circuit_id", "n"))
+    named = candidates.groupBy("circuit_id").agg(F.min("n").alias("n"))
+    return named.select("circuit_id", F.concat("n.id", F.lit("-Island")).alias("external_id"), F.col("n.name").alias("name")), members.select("circuit_id", "device_id").distinct()
 
 
 def circuit_network_device_map(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -269,3 +291,25 @@ def threshold(spark) -> DataFrame:
 
 def empty_view(spark, name: str) -> DataFrame:
     return spark.createDataFrame([], EMPTY_VIEWS[name])
+
+
+def collapsed_views(m: Model, found: tuple[DataFrame, DataFrame, DataFrame]) -> dict[str, DataFrame]:
+    """The views of terminals, connections, their map and line segments over collapsed connections (chains.collapse), in the columns of the plain ones.
+
+    Terminals are those at which a connection begins, ends or passes; connections begin at busbars.
+    """
+    links, inside, segments = found
+    key = lambda *c: ext_id(F.concat(*(x if not isinstance(x, str) else F.col(x) for x in c)))
+    used = links.select(F.col("source_terminal").alias("external_id")).union(links.select("target_terminal")).union(inside.select("terminal_id")).distinct()
+    connections = links.select(
+        ext_id(F.col("connection_id")).alias("id"), F.col("connection_id").alias("external_id"), ext_id(F.col("source_terminal")).alias("source_id"), F.lit("BUSBAR").alias("source_device_type"), ext_id(F.col("target_terminal")).alias("target_id"),
+        mapped(F.col("target_kind"), {"busbar": "BUSBAR", "transformer": "TRANSFORMER", "house": "HOUSE_CONNECTION"}).alias("target_device_type"), F.lit(True).alias("is_active"),
+    )
+    places = inside.select(key("connection_id", F.lit("~"), "terminal_id").alias("id"), ext_id(F.col("connection_id")).alias("connection_id"), ext_id(F.col("terminal_id")).alias("terminal_id"), "sequence_number")
+    s = segments.withColumnRenamed("equipment_id", "owner_id").join(m.first("Conductor.length", "length", "double"), "owner_id", "left").join(m.first("ACLineSegment.r", "r", "double"), "owner_id", "left").join(line_path(m), "owner_id", "left")
+    none = F.lit(None).cast("double")
+    lines = s.select(
+        key("connection_id", F.lit("~seg~"), "owner_id").alias("id"), ext_id(F.col("connection_id")).alias("connection_id"), F.col("owner_id").alias("external_id"), "sequence_number", "length", "r", none.alias("x"), none.alias("bch"),
+        none.alias("total_resistance"), "path_positions",
+    )
+    return {"terminal": terminal(m).join(used, "external_id", "left_semi"), "connection": connections, "connection_terminal_map": places, "line_segment": lines}

@@ -50,6 +50,21 @@ def class_page(facts: DataFrame, class_: str, after: str, size: int) -> DataFram
     return facts.join(F.broadcast(page) if size <= 100_000 else page, "id", "left_semi")
 
 
+def fact_groups(facts: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The facts object by object: all of an object next to each other in one partition, in order of profile, attribute, seq and value.
+
+    Objects are not collected into lists, so that one with very many facts needs no memory; mapInArrow sees them in turn.
+    """
+    by = facts.repartition(partitions, *OBJECT) if partitions else facts.repartition(*OBJECT)
+    return by.sortWithinPartitions(*OBJECT, "profile", "attribute", "seq", "value")
+
+
+def object_marks(facts: DataFrame) -> DataFrame:
+    """(version, id, class, is_unit, has_container): whether an object is a power-electronics unit, and whether it has a container reference."""
+    has = lambda a: F.coalesce(F.bool_or(F.col("attribute") == a), F.lit(False))
+    return facts.groupBy(*OBJECT).agg(object_class().alias("class"), has(UNIT_OF).alias("is_unit"), has("Equipment.EquipmentContainer").alias("has_container"))
+
+
 def first_value(attribute: str, reference: bool | None = None) -> Column:
     """Aggregate: the attribute's value of the least (seq, value), of references or literals only if asked."""
     mine = (F.col("attribute") == attribute) & F.col("value").isNotNull()

@@ -101,7 +101,7 @@ QUERIES = {
     "proj_line_segment": _simple(lambda m: pj.line_segment(m).drop("path_positions")), "line_path": _simple(lambda m: pj.line_path(m).select("owner_id", F.get_json_object("path_positions", "$[0].sequenceNumber").alias("first"), F.get_json_object("path_positions", "$[0].y").try_cast("double").alias("y"))),
     "proj_control_unit": _simple(pj.control_unit), "proj_control_step": _simple(pj.control_step), "proj_measuring_device": _simple(pj.measuring_device), "proj_feeder_extension": _simple(pj.terminal_feeder_end_extension),
     "proj_network_group": _simple(pj.network_group), "proj_circuit": proj_circuit, "proj_circuit_device_map": proj_circuit_device_map, "proj_network_device_circuit": proj_network_device_circuit,
-    "proj_threshold": lambda spark, d: pj.threshold(spark),
+    "proj_threshold": lambda spark, d: pj.threshold(spark), "proj_threshold_history": lambda spark, d: pj.threshold(spark),
     **{f"proj_{n}": (lambda n: lambda spark, d: pj.empty_view(spark, n))(n) for n in pj.EMPTY_VIEWS},
     "ext_ids": lambda spark, d: table(spark, d, "customer").select("c_custkey", pj.ext_id(F.col("c_name")).alias("ext_id")),
 }
@@ -143,11 +143,12 @@ memb AS (
   SELECT eq AS dv, min(cid) AS cid, 1 AS kd FROM touch WHERE cls = 'PowerTransformer' GROUP BY eq
   UNION ALL SELECT DISTINCT box, cid, 2 FROM touch WHERE cls = 'BusbarSection'
   UNION ALL SELECT box, min(cid), 3 FROM touch WHERE type = 'house' AND cls <> 'PowerTransformer' GROUP BY box),
-cname AS (SELECT cid, CASE WHEN min(kd) = 1 THEN CONCAT(min(CASE WHEN kd = 1 THEN dv END), '-Island') WHEN min(kd) = 2 THEN min(CASE WHEN kd = 2 THEN dv END) ELSE min(dv) END AS nm FROM memb GROUP BY cid),
+cname AS (SELECT *, CONCAT(plain, '-Island') AS nm FROM (SELECT cid, CASE WHEN min(kd) = 1 THEN min(CASE WHEN kd = 1 THEN dv END) WHEN min(kd) = 2 THEN min(CASE WHEN kd = 2 THEN dv END) ELSE min(dv) END AS plain FROM memb GROUP BY cid)),
 cmap AS (SELECT DISTINCT {_id("CONCAT(nm, '~', dv)")} AS id, {_id('nm')} AS circuit_id, {_id('dv')} AS network_device_id FROM memb JOIN cname USING (cid)),
 devices AS (SELECT id FROM trafo UNION ALL SELECT {_id('id')} FROM m_container WHERE type = 'busbar' UNION ALL SELECT {_id('hid')} FROM house)
 """
 
+_DUCK = {"string": "VARCHAR", "long": "BIGINT", "timestamp": "TIMESTAMPTZ"}
 ORACLES = {
     "proj_container": f"{_V} SELECT {_id('c.id')} AS id, c.id AS external_id, name, CASE type WHEN 'substation' THEN 'SUBSTATION' ELSE 'DISTRIBUTION_BOX' END AS container_type, CAST(NULL AS VARCHAR) AS address, lat AS latitude, lon AS longitude FROM m_container c LEFT JOIN m_geometry g ON g.owner_id = c.id WHERE type IN ('substation', 'distribution-box')",
     "proj_transformer": f"{_V} SELECT * FROM trafo",
@@ -170,7 +171,7 @@ FROM m_part p JOIN m_satellite u ON u.owner_id = p.id AND u.class IN ('PhotoVolt
   CAST(NULL AS VARCHAR) AS melo, CAST(NULL AS VARCHAR) AS sign_convention FROM m_part p LEFT JOIN nm ON nm.owner_id = p.id WHERE p.class = 'Meter'""",
     "proj_feeder_extension": f"{_V} SELECT id, CAST(NULL AS BIGINT) AS sequence_number, CAST(NULL AS VARCHAR) AS first_segment_cable_type FROM term WHERE feeder_area_id IS NOT NULL",
     "proj_network_group": f"""{_V} SELECT {_id("'north'")} AS id, 'north' AS external_id, 'north' AS name""",
-    "proj_circuit": f"{_V} SELECT {_id('nm')} AS id, nm AS external_id, nm AS name FROM cname",
+    "proj_circuit": f"{_V} SELECT {_id('nm')} AS id, nm AS external_id, plain AS name FROM cname",
     "proj_circuit_device_map": f"{_V} SELECT * FROM cmap",
     "proj_network_device_circuit": f"""{_V} SELECT d.id, CAST(NULL AS VARCHAR) AS external_id, CAST(NULL AS VARCHAR) AS name, circuit_id AS net_island, {_id("'north'")} AS network_group_id FROM devices d LEFT JOIN cmap ON network_device_id = d.id""",
     "proj_threshold": """SELECT CAST(i AS BIGINT) AS id, CAST(NULL AS BIGINT) AS terminal_id, TIMESTAMPTZ '2020-01-01 00:00:00+00' AS modified_date, 'SYSTEM' AS modified_by, true AS is_default, t AS threshold_type, CAST(w AS DOUBLE) AS warning_fraction, CAST(NULL AS DOUBLE) AS warning_value,
@@ -178,3 +179,5 @@ FROM m_part p JOIN m_satellite u ON u.owner_id = p.id AND u.class IN ('PhotoVolt
 FROM (VALUES (1, 'OVERLOAD', 0.8, 0.9, 0.85), (2, 'OVERVOLTAGE', 1.05, 1.08, 1.065), (3, 'UNDERVOLTAGE', 0.95, 0.92, 0.935)) v(i, t, w, c, l)""",
     "ext_ids": f"SELECT c_custkey, {_id('c_name')} AS ext_id FROM customer",
 }
+ORACLES["proj_threshold_history"] = ORACLES["proj_threshold"]
+ORACLES |= {f"proj_{n}": "SELECT " + ", ".join(f"CAST(NULL AS {_DUCK.get(c.split()[1], c.split()[1].upper())}) AS {c.split()[0]}" for c in cols.split(", ")) + " WHERE false" for n, cols in pj.EMPTY_VIEWS.items()}
