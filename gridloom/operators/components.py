@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,12 +16,25 @@ from gridloom.session import cut, drop
 ONE_TASK_EDGES = 400_000
 
 
-def components(edges: DataFrame, a: str, b: str, scope: Sequence[str] = (), one_task: int = ONE_TASK_EDGES) -> DataFrame:
+@contextmanager
+def distributed() -> Iterator[None]:
+    """Within it no graph is solved in one task, however small."""
+    global ONE_TASK_EDGES
+    before, ONE_TASK_EDGES = ONE_TASK_EDGES, 0
+    try:
+        yield
+    finally:
+        ONE_TASK_EDGES = before
+
+
+def components(edges: DataFrame, a: str, b: str, scope: Sequence[str] = (), one_task: int | None = None) -> DataFrame:
     """(*scope, node, component): the least node of the component of every node named in a or b, scope by scope.
 
     A null end joins nothing but its other end is a node; loops and parallel edges change nothing. Scopes (a scenario, a
-    station, a version) are separate graphs, solved together. Strings compare byte for byte.
+    station, a version) are separate graphs, solved together. Strings compare byte for byte. one_task: edges up to which one
+    task solves it all (ONE_TASK_EDGES unless given; 0: never); the answer is the same.
     """
+    one_task = ONE_TASK_EDGES if one_task is None else one_task
     scope = list(scope)
     ends = edges.select(*scope, F.col(a).alias("u"), F.col(b).alias("v"))
     nodes = ends.select(*scope, F.col("u").alias("node")).union(ends.select(*scope, F.col("v").alias("node"))).filter(F.col("node").isNotNull()).distinct()

@@ -138,6 +138,7 @@ class Grammar:
     def text(self, text: str) -> Iterator[tuple[int, list[str | None] | None, Broken | None]]:
         """(start, values, error) of every record of a text; one of the two is None."""
         at: int | None = 0
+        closings: dict[int, int] | None = None  # only broken texts need them
         while at is not None and (at < len(text) or at == 0):
             try:
                 values, end = self.record(text, at)
@@ -145,16 +146,48 @@ class Grammar:
                 at = self.next_line(text, end)
             except Broken as e:
                 yield at, None, e
-                at = self.anchor(text, at)
+                closings = self.closings(text) if closings is None else closings
+                at = self.anchor(text, at, closings)
+
+    def closings(self, text: str) -> dict[int, int]:
+        """Position of the quote that closes a field, by the position of the one that opens it, for every quote of a text; one pass from the right."""
+        at = [m.start() for m in re.finditer('"', text)]
+        out: dict[int, int] = {}
+        for k in range(len(at) - 2, -1, -1):
+            doubled = k + 2 < len(at) and at[k + 2] == at[k + 1] + 1
+            close = out.get(at[k + 2]) if doubled else at[k + 1]
+            if close is not None:
+                out[at[k]] = close
+        return out
+
+    def stands(self, text: str, at: int, closings: dict[int, int]) -> bool:
+        """Whether a whole valid record stands at `at`; looks at no more fields than the layout has columns."""
+        for no, column in enumerate(self.columns, 1):
+            if text.startswith('"', at):
+                close = closings.get(at)
+                if close is None or not self.ends(text, close + 1):
+                    return False
+                value, end = text[at + 1 : close].replace('""', '"'), close + 1
+            else:
+                end = self.bare.match(text, at).end()
+                if text.startswith('"', end):
+                    return False
+                value = text[at:end]
+            try:
+                self.value(value, column, no, at)
+            except Broken:
+                return False
+            more = text.startswith(self.delimiter, end)
+            if more != (no < len(self.columns)):
+                return False
+            at = end + len(self.delimiter)
+        return True
 
-    def anchor(self, text: str, at: int) -> int | None:
+    def anchor(self, text: str, at: int, closings: dict[int, int]) -> int | None:
         """The next line start after `at` where a whole valid record stands."""
         while (at := self.next_line(text, at)) is not None and at < len(text):
-            try:
-                self.record(text, at)
+            if self.stands(text, at, closings):
                 return at
-            except Broken:
-                pass
         return None
 
 
@@ -219,7 +252,7 @@ def parse_rows(rows: DataFrame, layouts: DataFrame) -> DataFrame:
 
 
 def errors(parsed: DataFrame, version: int | None = None) -> DataFrame:
-    """The rows that are not valid, as staging_errors rows, each once however often it was delivered."""
+    """The rows that are not valid, as staging_errors rows, each once however often it was delivered; rows without line number are told apart by offset and reason."""
     return every_error(parsed.filter(~F.col("recovered")), version)
 
 
@@ -230,7 +263,7 @@ def every_error(parsed: DataFrame, version: int | None = None) -> DataFrame:
     """
     return (
         parsed.filter(~F.col("ok"))
-        .groupBy("source_file", "line", F.when(F.col("recovered"), F.struct("byte_offset", _reason())).alias("later"))
+        .groupBy("source_file", "line", F.when(F.col("recovered") | F.col("line").isNull(), F.struct("byte_offset", _reason())).alias("later"))
         .agg(F.min("byte_offset").alias("byte_offset"), F.min(_reason()).alias("message"))
         .select(F.lit(version).cast("long").alias("version"), "source_file", "line", "byte_offset", "message")
     )

@@ -10,8 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.components import components
 from gridloom.functions.scalar import attr_text, ext_id, json_text, mapped
+from gridloom.operators.components import components
 from gridloom.operators.topology import GROUND, TRANSFORMER, first_per_key
 from gridloom.session import cut
 
@@ -293,6 +293,15 @@ def empty_view(spark, name: str) -> DataFrame:
     return spark.createDataFrame([], EMPTY_VIEWS[name])
 
 
+def collapse_inputs(m: Model) -> tuple[DataFrame, DataFrame]:
+    """Terminals and kinds of equipment as chains.collapse takes them: walks stop at busbars, transformers and what stands in a house."""
+    t = cut(terminal_index(m))
+    box = m.container.select(F.col("id").alias("container_id"), F.col("type").alias("box"))
+    stop = F.when(F.col("cim_class") == "BusbarSection", "busbar").when(F.col("cim_class") == TRANSFORMER, "transformer").when(F.col("box") == "house", "house")
+    kinds = t.join(box, "container_id", "left").select("equipment_id", F.col("cim_class").alias("class"), stop.alias("stop")).distinct()
+    return t.filter(F.col("node_id") != GROUND).select(F.col("terminal_key").alias("terminal_id"), "equipment_id", "node_id"), kinds
+
+
 def collapsed_views(m: Model, found: tuple[DataFrame, DataFrame, DataFrame]) -> dict[str, DataFrame]:
     """The views of terminals, connections, their map and line segments over collapsed connections (chains.collapse), in the columns of the plain ones.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,29 +103,33 @@ class Stage:
     table: str
     column: str | None = None
     sources: tuple[tuple[str, str], ...] = ()
-    where: Column | None = None
+    where: Callable[[DataFrame], Column] | None = None
 
 
-def in_regions(column: str, regions: Sequence[str], also: str | None = None) -> Column:
-    """Rows of the regions, or with any text in the column `also` (units at sea have an area there instead of a region)."""
-    found = F.coalesce(F.col(column).isin(*regions), F.lit(False))
-    return found | F.coalesce(F.col(also) != "", F.lit(False)) if also else found
+def in_regions(column: str, regions: Sequence[str], also: str | None = None) -> Callable[[DataFrame], Column]:
+    """Rows of the regions, or with any text in the column `also` (units at sea have an area there instead of a region); an absent column holds nothing."""
+
+    def where(df: DataFrame) -> Column:
+        found = F.coalesce(F.col(column).isin(*regions), F.lit(False)) if column in df.columns else F.lit(False)
+        return found | F.coalesce(F.col(also) != "", F.lit(False)) if also and also in df.columns else found
+
+    return where
 
 
 def extract(tables: Mapping[str, DataFrame], stages: Sequence[Stage]) -> dict[str, DataFrame]:
     """The tables of an extract, stage by stage; a stage may ask for tables of the ones before it.
 
-    A source whose column a table does not have counts as empty (register tables differ from dump to dump). Keys are
+    A source that is not there, or whose column a table does not have, counts as empty (register tables differ from dump to dump). Keys are
     removed of repetitions before they are joined; empty keys refer to nothing.
     """
     out: dict[str, DataFrame] = {}
     for s in stages:
         df = table_of(tables, s.table)
         if s.where is not None:
-            df = df.filter(s.where)
+            df = df.filter(s.where(df))
         elif s.column is not None:
-            found = [(out[t], c) for t, c in s.sources if c in out[t].columns]
-            df = kept(df, s.column, referenced(found, "k")) if found else df.limit(0)
+            found = [(out[t], c) for t, c in s.sources if t in out and c in out[t].columns]
+            df = kept(df, s.column, referenced(found, "k")) if found and s.column in df.columns else df.limit(0)
         out[s.table] = df
     return out
 

@@ -118,7 +118,7 @@ def cable_chains(segments: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 def node_chains(segments: DataFrame, chains: DataFrame) -> DataFrame:
     """(node, chain_id): the least chain that touches a node."""
-    ends = segments.select("equipment_id", F.explode(F.array("t1", "t2")).alias("node")).dropna()
+    ends = segments.select("equipment_id", F.explode(F.array("t1", "t2")).alias("node")).filter(F.col("node").isNotNull() & (F.col("node") != GROUND))
     return ends.join(chains, "equipment_id").groupBy("node").agg(F.min("chain_id").alias("chain_id"))
 
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators import components as comp
 from gridloom.operators import containers as ct
 from gridloom.operators import staging as st
 from gridloom.operators import topology as top
+from gridloom.plans import graph
 from gridloom.plans import staging as ps
 from gridloom.session import cut, table
 
@@ -88,8 +90,21 @@ def model_node_degree(spark: SparkSession, d: str) -> DataFrame:
     return ends.groupBy("node").agg(F.count(F.lit(1)).alias("degree")).groupBy("degree").agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
+def _spread(query):
+    """A query of which no graph is solved in one task, however small; its SQL is that of the query."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        with comp.distributed():
+            return query(spark, d)
+
+    return run
+
+
+SPREAD = {"model_circuits": model_circuits, "model_groups": model_groups, "model_reachable": model_reachable, "model_chains": model_chains, "circuits": graph.circuits, "electrical_groups": graph.electrical_groups, "station_islands": graph.station_islands}
 QUERIES = {f.__name__: f for f in (model_containers, container_of_equipment, container_anomalies, document_containers, model_circuits, model_groups, model_reachable, model_chains, model_node_degree)}
 
+QUERIES |= {f"{n}_spread": _spread(q) for n, q in SPREAD.items()}
+
 _HOLD = "nullif(trim({}), '')".format(ps._first_sql(ct.HOLDER))
 _DESCRIBED = f"""
 named AS (SELECT DISTINCT version, trim(value) AS c, regexp_extract(trim(value), '{STATION}', 1) AS s FROM staging_records WHERE attribute = '{ct.HOLDER}' AND trim(value) <> ''),
@@ -162,3 +177,4 @@ reach(n, r) AS (SELECT DISTINCT a, a FROM links UNION SELECT l.b, x.r FROM reach
 SELECT n AS equipment_id, 'acline:' || min(n) OVER w || ':' || max(n) OVER w AS chain_id, 'ACLine ' || substr(min(n) OVER w, 1, 8) AS chain_name FROM root WINDOW w AS (PARTITION BY r)""",
     "model_node_degree": f"WITH {_EDGES}, ends AS (SELECT equipment_id, t1 AS node FROM edge UNION SELECT equipment_id, t2 FROM edge) SELECT degree, count(*) AS n_nodes FROM (SELECT node, count(*) AS degree FROM ends WHERE node IS NOT NULL AND node NOT IN ('', 'GND') GROUP BY node) GROUP BY degree",
 }
+ORACLES |= {f"{n}_spread": (ORACLES | graph.ORACLES)[n] for n in SPREAD}

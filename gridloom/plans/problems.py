@@ -52,6 +52,23 @@ def p3_wide(spark: SparkSession, d: str) -> DataFrame:
     return widen.widen(table(spark, d, "staging_records"), table(spark, d, "attribute_types"))
 
 
+def p3_cells(spark: SparkSession, d: str) -> DataFrame:
+    """(version, id, class, attribute, long_value, double_value, boolean_value, date_value, string_value): the filled cells of the wide table."""
+    wide = widen.widen(table(spark, d, "staging_records"), table(spark, d, "attribute_types"))
+    kinds = {"long": "bigint", "double": "double", "boolean": "boolean", "date": "date", "string": "string"}
+    out = None
+    keys = ["version", "id", "class", "bad_attributes"]
+    for kind, sql in kinds.items():
+        names = [f.name for f in wide.schema.fields if f.name not in keys and f.dataType.simpleString() == sql]
+        if not names:
+            continue
+        cell = F.explode(F.array(*(F.struct(F.lit(n.removesuffix("_value")).alias("attribute"), F.col(f"`{n}`").alias("v")) for n in names)))
+        one = wide.select("version", "id", "class", cell.alias("c")).filter("c.v IS NOT NULL")
+        one = one.select("version", "id", "class", "c.attribute", *(F.col("c.v").alias(f"{k}_value") if k == kind else F.lit(None).cast(t).alias(f"{k}_value") for k, t in kinds.items()))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     found = nested.nodes(table(spark, d, "model_file"), once=False).filter(F.col("kind") != "unreadable")
     return found.select("file_id", "parent_path", F.col("path").alias("child_path")).distinct()
@@ -126,6 +143,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_wide": p3_wide,
+    "p3_cells": p3_cells,
     "p4_found": p4_found,
     **{f"p4_{k}": p4_table(k) for k in nested.KINDS},
     "p5_counts": p5_counts,
@@ -188,6 +206,20 @@ WHERE 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2),
 UNION ALL SELECT 'within', id, area_id FROM crossed WHERE n % 2 = 1
 """,
     "p3_found": f"WITH {_TYPED} SELECT version, id, attribute FROM judged GROUP BY ALL HAVING NOT bool_or(good)",
+    "p3_cells": """
+WITH f AS (SELECT * FROM staging_records), kind AS (SELECT attribute, min(value_type) AS kind FROM attribute_types WHERE attribute IS NOT NULL GROUP BY attribute),
+t AS (SELECT f.version, f.id, f.attribute, f.seq, coalesce(k.kind, 'string') AS kind, CASE WHEN coalesce(k.kind, 'string') = 'string' THEN f.value ELSE trim(f.value) END AS v FROM f LEFT JOIN kind k USING (attribute) WHERE f.attribute IS NOT NULL AND f.value IS NOT NULL),
+good AS (SELECT * FROM t WHERE v <> '' AND CASE kind
+    WHEN 'long' THEN regexp_full_match(v, '-?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL
+    WHEN 'double' THEN regexp_full_match(v, '-?[0-9]+(\\.[0-9]+)?([eE][+-]?[0-9]+)?') AND isfinite(coalesce(TRY_CAST(v AS DOUBLE), 'inf'::DOUBLE))
+    WHEN 'boolean' THEN lower(v) IN ('true', 'false')
+    WHEN 'date' THEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL ELSE true END),
+cell AS (SELECT version, id, attribute, kind, struct_extract(min({'s': coalesce(seq, -2147483648), 'v': v}), 'v') AS v FROM good GROUP BY ALL),
+cls AS (SELECT version, id, coalesce(min(class) FILTER (WHERE class <> 'Equipment'), min(class)) AS class FROM f GROUP BY ALL)
+SELECT c.version, c.id, x.class, c.attribute, CASE WHEN kind = 'long' THEN TRY_CAST(v AS BIGINT) END AS long_value, CASE WHEN kind = 'double' THEN TRY_CAST(v AS DOUBLE) END AS double_value,
+  CASE WHEN kind = 'boolean' THEN lower(v) = 'true' END AS boolean_value, CASE WHEN kind = 'date' THEN TRY_CAST(v AS DATE) END AS date_value, CASE WHEN kind = 'string' THEN v END AS string_value
+FROM cell c JOIN cls x ON x.version IS NOT DISTINCT FROM c.version AND x.id IS NOT DISTINCT FROM c.id
+""",
     "p5_counts": """
 WITH f AS (SELECT DISTINCT * FROM staging_records),
 m AS (SELECT version, value AS id, count(*) AS m FROM f WHERE is_reference AND value IS NOT NULL GROUP BY ALL),

@@ -145,10 +145,37 @@ def current_limit_min(spark: SparkSession, d: str) -> DataFrame:
     return f.groupBy("version", "id").agg(F.coalesce(F.round(F.min(F.when(F.trim("value").rlike(r"^[0-9]+(\.[0-9]+)?$"), F.trim("value").try_cast("double"))) / 1000, 6), F.lit(1.0)).alias("max_i_ka"))
 
 
+def voltage_rule(spark: SparkSession, d: str) -> DataFrame:
+    """Equipment with terminals that has not exactly one base voltage (transformers one or two)."""
+    from gridloom.usecases import voltage_levels
+
+    f = _facts(spark, d)
+    wired = tm.terminal_table(f).filter("equipment_id IS NOT NULL").select("version", F.col("equipment_id").alias("id")).distinct()
+    return voltage_levels(f, wired)
+
+
+def unit_marks(spark: SparkSession, d: str) -> DataFrame:
+    """(class, is_unit, has_container, n): how many objects are power-electronics units, and how many name a container."""
+    return st.object_marks(_facts(spark, d)).groupBy("class", "is_unit", "has_container").agg(F.count(F.lit(1)).alias("n"))
+
+
+def nsc_terminals(spark: SparkSession, d: str) -> DataFrame:
+    """The wiring of the facts read as those of the second dialect."""
+    f = tm.nsc_facts(table(spark, d, "staging_records"))
+    return tm.terminal_table(f).select("version", "terminal_id", "equipment_id", "node", "seq")
+
+
+def resolved_fuses(spark: SparkSession, d: str) -> DataFrame:
+    """The wiring of all fuses, asked for by id."""
+    f = _facts(spark, d)
+    ids = tm.class_of(f).filter("class = 'Fuse'").select("version", "id")
+    return tm.resolve_for(f, ids).select("version", "equipment_id", "node1", "node2", "anomaly")
+
+
 QUERIES = {f.__name__: f for f in (
     fact_classes, version_counts, ids_in_profiles, forward_refs, reverse_refs, class_page, eav_pivot, switch_states, resolved_terminals, terminal_anomalies, zero_based_terminals, split_busbars,
     built_edges, built_nodes, built_circuits, junction_merge, equipment_without_container, equipment_without_terminals, unreferenced_nodes, satellite_objects, satellite_values, first_position_point, attribute_index,
-    current_limit_min,
+    current_limit_min, voltage_rule, unit_marks, nsc_terminals, resolved_fuses,
 )}
 
 _F = "f AS (SELECT DISTINCT * FROM staging_records)"
@@ -237,4 +264,19 @@ q AS (SELECT l.version, owner_id, CASE WHEN regexp_full_match(y, '-?[0-9]+(\\.[0
 SELECT version, owner_id, lat, lon FROM q WHERE lat IS NOT NULL AND lon IS NOT NULL QUALIFY row_number() OVER (PARTITION BY version, owner_id ORDER BY no NULLS FIRST, id) = 1""",
     "attribute_index": f"WITH {_F} SELECT version, id, value, CAST(row_number() OVER (PARTITION BY version, id ORDER BY value NULLS FIRST) - 1 AS INT) AS seq FROM (SELECT DISTINCT version, id, value FROM f WHERE attribute = 'OperationalLimit.permanentCurrent')",
     "current_limit_min": f"WITH {_F} SELECT version, id, coalesce(round(min(CASE WHEN regexp_full_match(trim(value), '[0-9]+(\\.[0-9]+)?') THEN TRY_CAST(trim(value) AS DOUBLE) END) / 1000, 6), 1.0) AS max_i_ka FROM f WHERE attribute = 'OperationalLimit.permanentCurrent' GROUP BY ALL",
+    "voltage_rule": f"""WITH {_F}, {_CLASSES}, {_TERMINALS}, wired AS (SELECT DISTINCT version, equipment_id AS id FROM term WHERE equipment_id IS NOT NULL),
+r AS (SELECT version, id, attribute, value FROM f WHERE is_reference AND value <> ''), own AS (SELECT version, id, value AS v FROM r WHERE attribute = 'ConductingEquipment.BaseVoltage'),
+k AS (SELECT c.version, c.id, c.class, count(DISTINCT o.v) AS n FROM cls c JOIN wired w ON w.version = c.version AND w.id = c.id LEFT JOIN own o ON o.version = c.version AND o.id = c.id GROUP BY ALL)
+SELECT version, id AS object_id, 'voltage-level' AS rule, CASE WHEN n = 0 THEN 'no voltage level' ELSE n || ' voltage levels, at most ' || CASE WHEN class = 'PowerTransformer' THEN '2' ELSE '1' END END AS message
+FROM k WHERE n = 0 OR n > CASE WHEN class = 'PowerTransformer' THEN 2 ELSE 1 END""",
+    "unit_marks": f"""WITH {_F} SELECT class, is_unit, has_container, count(*) AS n FROM (SELECT version, id, {_CLASS} AS class, count(*) FILTER (WHERE attribute = '{st.UNIT_OF}') > 0 AS is_unit, count(*) FILTER (WHERE attribute = 'Equipment.EquipmentContainer') > 0 AS has_container FROM f GROUP BY version, id) GROUP BY ALL""",
+    "nsc_terminals": f"""WITH {_F}, {_TERMINALS}, bar AS (SELECT DISTINCT version, id FROM f WHERE class = 'BusbarSection'),
+b AS (SELECT t.version, terminal_id, equipment_id, node, row_number() OVER (PARTITION BY t.version, equipment_id ORDER BY terminal_id) AS no FROM term t JOIN bar ON bar.version = t.version AND bar.id = t.equipment_id),
+up AS (SELECT version, equipment_id FROM term t WHERE equipment_id IS NOT NULL AND (version, equipment_id) NOT IN (SELECT (version, id) FROM bar) GROUP BY ALL HAVING min(seq) = '0' AND (count(*) = 1 OR count(*) = 2 AND max(seq) = '1'))
+SELECT version, terminal_id, equipment_id || CASE WHEN no > 1 THEN '#' || no ELSE '' END AS equipment_id, node, '1' AS seq FROM b
+WHERE (version, terminal_id) IN (SELECT (version, id) FROM f WHERE attribute = 'ACDCTerminal.sequenceNumber')
+UNION ALL SELECT version, terminal_id, equipment_id || CASE WHEN no > 1 THEN '#' || no ELSE '' END, node, NULL FROM b WHERE (version, terminal_id) NOT IN (SELECT (version, id) FROM f WHERE attribute = 'ACDCTerminal.sequenceNumber')
+UNION ALL SELECT t.version, terminal_id, t.equipment_id, node, CASE WHEN u.version IS NULL OR seq IS NULL THEN seq ELSE CAST(CAST(seq AS INT) + 1 AS VARCHAR) END FROM term t LEFT JOIN up u ON u.version = t.version AND u.equipment_id = t.equipment_id
+WHERE t.equipment_id IS NULL OR (t.version, t.equipment_id) NOT IN (SELECT (version, id) FROM bar)""",
+    "resolved_fuses": f"""WITH {_ALL} SELECT c.version, c.id AS equipment_id, w.node1, w.node2, CASE WHEN w.version IS NULL THEN 'no terminal' ELSE w.anomaly END AS anomaly FROM cls c LEFT JOIN wiring w ON w.version = c.version AND w.equipment_id = c.id WHERE c.class = 'Fuse'""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators import chains
 from gridloom.operators import projection as pj
 from gridloom.operators import topology as top
 from gridloom.session import table
@@ -95,6 +96,15 @@ def proj_network_device_circuit(spark: SparkSession, d: str) -> DataFrame:
     return pj.network_device(model(spark, d), proj_circuit_device_map(spark, d), group.id if group else None)
 
 
+def _collapsed(name: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        m = model(spark, d)
+        return pj.collapsed_views(m, chains.collapse(*pj.collapse_inputs(m)))[name]
+
+    query.__doc__ = f"The view {name} over collapsed connections."
+    return query
+
+
 QUERIES = {
     "proj_container": _simple(pj.container), "proj_transformer": _simple(pj.transformer), "proj_busbar": _simple(pj.busbar), "proj_feeder_area": _simple(pj.feeder_area), "proj_house": _simple(pj.house_connection),
     "proj_network_device": _simple(pj.network_device), "proj_terminal": _simple(pj.terminal), "proj_connection": _simple(pj.connection), "proj_connection_map": _simple(pj.connection_terminal_map),
@@ -102,6 +112,7 @@ QUERIES = {
     "proj_control_unit": _simple(pj.control_unit), "proj_control_step": _simple(pj.control_step), "proj_measuring_device": _simple(pj.measuring_device), "proj_feeder_extension": _simple(pj.terminal_feeder_end_extension),
     "proj_network_group": _simple(pj.network_group), "proj_circuit": proj_circuit, "proj_circuit_device_map": proj_circuit_device_map, "proj_network_device_circuit": proj_network_device_circuit,
     "proj_threshold": lambda spark, d: pj.threshold(spark), "proj_threshold_history": lambda spark, d: pj.threshold(spark),
+    **{f"proj_collapsed_{n}": _collapsed(n) for n in ("terminal", "connection", "connection_terminal_map", "line_segment")},
     **{f"proj_{n}": (lambda n: lambda spark, d: pj.empty_view(spark, n))(n) for n in pj.EMPTY_VIEWS},
     "ext_ids": lambda spark, d: table(spark, d, "customer").select("c_custkey", pj.ext_id(F.col("c_name")).alias("ext_id")),
 }

@@ -1,5 +1,6 @@
 import math
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -183,3 +184,29 @@ def test_recovered_records_and_later_errors(spark):
 def test_broken_layout_is_refused(spark):
     with pytest.raises(ValueError):
         d.grammars(layouts(spark).filter(F.col("column_no") == 2))
+
+
+def test_resuming_in_a_large_broken_text_is_linear():
+    g = d.Grammar([d.Column("a", "long", True, None, None, None), d.Column("b", "string", False, None, None, None)], ",")
+    text = '1,"open' + "\n" + "\n".join(f'x{k},"swallowed' if k % 2 else f'"""{k}' for k in range(60_000)) + "\n7,good\n"
+    start = time.time()
+    got = [(values, e is None) for _, values, e in g.text(text)]
+    assert time.time() - start < 10 and got[0][1] is False and got[-1][0] == ["7", "good"]
+
+
+@pytest.mark.parametrize("text", ['"a"', '"a""b",c', '""', '"""', '"a"b"c"', '"x\ny""",""', '""""', 'a"b"""'])
+def test_closing_quotes_are_those_of_the_grammar(text):
+    g = d.Grammar([], ",")
+    closings = g.closings(text)
+    for at, c in enumerate(text):
+        if c == '"':
+            m = g.quoted.match(text, at)
+            by_pattern = m.end() if m and g.ends(text, m.end()) else None
+            by_pass = closings[at] + 1 if at in closings and g.ends(text, closings[at] + 1) else None
+            assert by_pattern == by_pass
+
+
+def test_broken_rows_without_line_stay_apart(spark):
+    rows = spark.createDataFrame([("f", None, 5, "l", "x,y"), ("f", None, 9, "l", "z,y"), ("f", None, 9, "l", "z,y")], "source_file string, line long, byte_offset long, layout string, raw string")
+    layouts = spark.createDataFrame([("l", 1, "a", "long", True, None, None, None, ","), ("l", 2, "b", "string", False, None, None, None, ",")], "layout string, column_no int, column_name string, column_type string, required boolean, min_value double, max_value double, allowed string, delimiter string")
+    assert d.errors(d.parse_rows(rows, layouts)).count() == 2

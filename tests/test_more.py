@@ -165,3 +165,20 @@ def test_bridged_circuits(spark):
     nodes = spark.createDataFrame([("n1", "c1"), ("n2", "c2"), ("n3", "c3"), ("n4", "c4")], "node string, circuit_id string")
     bridges = spark.createDataFrame([("g", "n4"), ("g", "n2"), ("h", "n2"), ("h", "n3"), ("h", "lost"), ("i", "n1")], "group_id string, node string")
     assert bag(pj.bridged_circuits(nodes, bridges)) == bag(spark.createDataFrame([("n1", "c1"), ("n2", "c2"), ("n3", "c2"), ("n4", "c2")], "node string, circuit_id string"))
+
+
+def test_collapsed_views(spark):
+    from gridloom.operators import chains
+
+    c = spark.createDataFrame([("bb", "busbar", "S"), ("bay", "bay", "S"), ("H", "house", None), ("K", "acline", None)], "id string, type string, parent_id string")
+    e = spark.createDataFrame([("sec", "bb"), ("sw", "bay"), ("k", "K"), ("m", "H")], "id string, container_id string")
+    g = spark.createDataFrame([("sw", "n1", "n2"), ("k", "n2", "n3"), ("m", "n3", "GND")], "equipment_id string, t1 string, t2 string")
+    a = [(o, "cim_class", 0, f'"{x}"') for o, x in (("sec", "BusbarSection"), ("sw", "Switch"), ("k", "ACLineSegment"), ("m", "Meter"))] + [("sec", "busbar_node_id", 0, '"n1"'), ("k", "Conductor.length", 0, '"12.5"')]
+    m = pj.Model(c, e, g, spark.createDataFrame([], "owner_id string, owner_kind string, lat double, lon double"), spark.createDataFrame(a, "owner_id string, key string, seq int, value string"))
+    v = pj.collapsed_views(m, chains.collapse(*pj.collapse_inputs(m)))
+    ext = lambda x: spark.range(1).select(scalar.ext_id(F.lit(x))).first()[0]
+    one_ = v["connection"].collect()
+    assert [(r.source_id, r.source_device_type, r.target_id, r.target_device_type) for r in one_] == [(ext("sec#T1"), "BUSBAR", ext("m#T1"), "HOUSE_CONNECTION")]
+    line = v["line_segment"].collect()
+    assert [(r.external_id, r.connection_id, r.length) for r in line] == [("k", one_[0].id, 12.5)]
+    assert {r.connection_id for r in v["connection_terminal_map"].collect()} == {one_[0].id} and {"sec#T1", "m#T1"} <= {r.external_id for r in v["terminal"].collect()}
