@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.skew import hot_of, salted_join
-from gridloom.session import cut, drop
+from gridloom.session import cut, cut_counted, drop
 
 
 def group_pairs(pairs: DataFrame, left: str, right: str, ignored: tuple[str, ...] = ()) -> DataFrame:
@@ -29,16 +29,16 @@ def group_pairs(pairs: DataFrame, left: str, right: str, ignored: tuple[str, ...
     nodes = pairs.filter(ok(left)).select(F.col(left).alias("node")).union(pairs.filter(ok(right)).select(F.col(right).alias("node"))).distinct()
     edges = pairs.filter(ok(left) & ok(right) & (F.col(left) != F.col(right))).select(F.least(left, right).alias("u"), F.greatest(left, right).alias("v")).distinct()
 
-    edges = cut(edges)
+    edges, n = cut_counted(edges, left=F.lit(True))
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
+    while n["left"]:
         chosen = _choices(edges)
         # A component with very many edges is hot where edges are renamed; its degree is known from its choice.
         hubs = hot_of(chosen.select("c", F.col("degree").alias("_n")), ["c"])
-        roots = _stars(_hooks(chosen))
+        roots = _stars(chosen)
         rounds.append(roots)
         renamed = _rename(_rename(edges, roots, hubs, "u"), roots, hubs, "v").filter(F.col("u") != F.col("v"))
-        left_over = cut(renamed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+        left_over, n = cut_counted(renamed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), left=F.lit(True))
         drop(edges)
         drop(chosen)
         edges = left_over
@@ -58,26 +58,22 @@ def _choices(edges: DataFrame) -> DataFrame:
     return cut(both.groupBy("c").agg(F.min("p").alias("p"), F.count(F.lit(1)).alias("degree")))
 
 
-def _hooks(chosen: DataFrame) -> DataFrame:
-    """(c, p): of two that chose each other the smaller one points to itself, everything else to its choice."""
-    # c is a root if it chose a larger one that chose it back; only those need the look-up, and each is asked for once.
-    up = chosen.filter(F.col("c") < F.col("p")).select("c", "p")
-    back = chosen.filter(F.col("p") < F.col("c")).select(F.col("c").alias("p"), F.col("p").alias("c"))
-    mutual = up.join(back, ["c", "p"], "left_semi").select("c", F.lit(True).alias("root"))
-    return chosen.join(mutual, "c", "left").select("c", F.when(F.col("root"), F.col("c")).otherwise(F.col("p")).alias("p"))
+def _stars(chosen: DataFrame) -> DataFrame:
+    """(c, root): pointers to the choices, doubled (p becomes the parent's parent) until none moves.
 
-
-def _stars(hooks: DataFrame) -> DataFrame:
-    """(c, root) by pointer doubling: p becomes the parent's parent until no pointer moves."""
-    now = cut(hooks)
-    while True:
+    The first doubling also finds the roots: where the choice of c's choice is c, the two chose each other, and the smaller
+    one becomes the root, which points to itself.
+    """
+    now = chosen.select("c", "p")
+    own = F.when(F.col("g") == F.col("c"), F.least("c", "p")).otherwise(F.col("g"))
+    now, n = cut_counted(salted_join(now, now.select(F.col("c").alias("p"), F.col("p").alias("g")), ["p"]).select("c", own.alias("p")), moved=F.lit(True))
+    while n["moved"]:
         parents = now.filter(F.col("c") != F.col("p")).select(F.col("c").alias("p"), F.col("p").alias("g"))  # roots point to themselves
-        after = cut(salted_join(now, parents, ["p"], "left").select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")))
-        done = after.filter("moved").isEmpty()
+        after, n = cut_counted(salted_join(now, parents, ["p"], "left").select("c", F.coalesce("g", "p").alias("p"), F.col("g").isNotNull().alias("moved")), moved=F.col("moved"))
         drop(now)
-        now = after
-        if done:
-            return now.select("c", F.col("p").alias("root"))
+        now = after.select("c", "p")
+        now._gridloom_path = after._gridloom_path  # type: ignore[attr-defined]
+    return now.withColumnRenamed("p", "root")
 
 
 def _rename(edges: DataFrame, roots: DataFrame, hubs: DataFrame, end: str) -> DataFrame:
