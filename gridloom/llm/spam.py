@@ -42,7 +42,7 @@ LINK = re.compile(r"""<a\s[^>]*>|</a>|\[[^\]\n]*\]\((?:https?://|www\.)[^)\s]*\)
 HOST = re.compile(r"""(?:https?://(?:www\.)?|www\.)([^\s/<>"')\]?#:]+)""")
 TAG = re.compile(r"(?<!\S)(?:[#+]|@tag:|tag:)[\w-]+")
 SEPARATORS = re.compile(r"[,;|·•/!?]|\s[-–*+>]\s|\.\s")
-DIGIT, CAPITAL = re.compile(r"\d"), re.compile(r"[A-ZÀ-Þ]")
+DIGITS, CAPITAL = "0123456789", re.compile(r"[A-ZÀ-Þ]")
 PIECE = re.compile(r"(?<=[.!?])\s+")
 END = re.compile(r"[.!?;:]\W*$")
 #: Frequent function words of the languages in use.
@@ -110,22 +110,32 @@ def units(text: str) -> Iterator[list[Piece]]:
 
 def describe(unit: list[Piece]) -> tuple[list[float], int, set[str], int]:
     """(own features, weak label or NO_LABEL, different words, characters) of a unit."""
-    size = sum(len(p.text) for p in unit)
-    words = unit[0].words if len(unit) == 1 else [w for p in unit for w in p.words]
+    k, first = len(unit), unit[0]
+    if k == 1:
+        text, words, links, tags, hits = first.text, first.words, first.links, first.tags, first.function
+        size = len(text)
+        ends, with_function, kinds_of_piece = float(END.search(text) is not None), float(hits > 0), 1.0
+    else:
+        size = links = tags = hits = ended = having = 0
+        words = []
+        for p in unit:
+            size += len(p.text)
+            links += p.links
+            tags += p.tags
+            hits += p.function
+            having += p.function > 0
+            ended += END.search(p.text) is not None
+            words += p.words
+        text = " ".join([p.text for p in unit])
+        ends, with_function, kinds_of_piece = ended / k, having / k, len({tuple(p.words) for p in unit}) / k
     kinds = set(words)
-    n, k = len(words), len(unit)
+    n = len(words)
     per = n or 1
-    links, tags = sum(p.links for p in unit) / size, sum(p.tags for p in unit) / size
-    function, distinct = sum(p.function for p in unit) / per, len(kinds) / per
+    links, tags = links / size, tags / size
+    function, distinct = hits / per, len(kinds) / per
     pairs = len(set(zip(words, words[1:], strict=False))) / (n - 1) if n > 1 else 1.0
-    text = unit[0].text if k == 1 else " ".join(p.text for p in unit)
-    ends = sum(END.search(p.text) is not None for p in unit) / k
-    with_function = sum(p.function > 0 for p in unit) / k
-    digits = len(DIGIT.findall(text)) / size
-    own = [
-        function, distinct, pairs, links, tags, digits, ends, min(60.0, n), min(60.0, n / k), with_function,
-        len({tuple(p.words) for p in unit}) / k if k > 1 else 1.0, len(SEPARATORS.findall(text)) / per, len(CAPITAL.findall(text)) / size,
-    ]
+    digits = sum(map(text.count, DIGITS)) / size
+    own = [function, distinct, pairs, links, tags, digits, ends, min(60.0, n), min(60.0, n / k), with_function, kinds_of_piece, len(SEPARATORS.findall(text)) / per, len(CAPITAL.findall(text)) / size]
 
     label = NO_LABEL
     if links >= 0.6 or tags >= 0.6:
