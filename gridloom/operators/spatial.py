@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.skew import salted_join
+
 #: Mean radius of the earth in metres.
 EARTH_M = 6_371_008.8
 #: A grid cell's edge as a multiple of the search radius; a ball of the radius touches 1 to 8 cells, 3.4 on average.
@@ -76,6 +78,22 @@ def near_pairs(points: DataFrame, radius_m: float) -> DataFrame:
     return met.filter(great_circle_m(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2")) <= radius_m).select("left_id", "right_id")
 
 
+def co_located(points: DataFrame) -> DataFrame:
+    """(point_id, class_id): points at exactly the same place are one class, named by its least id.
+
+    Pairs between classes (near_pairs of class_points) and this membership say what near_pairs says, without a pair for every
+    two points of one place: points are near if their classes are the same or near.
+    """
+    classes = class_points(points).select(F.col("point_id").alias("class_id"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    places = points.select("point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"))
+    return salted_join(places, classes, ["_lat", "_lon"]).select("point_id", "class_id")
+
+
+def class_points(points: DataFrame) -> DataFrame:
+    """(point_id, lat, lon): the least point of each place. -0.0 and 0.0 are the same place."""
+    return points.groupBy("lat", "lon").agg(F.min("point_id").alias("point_id")).select("point_id", "lat", "lon")
+
+
 def border_edges(areas: DataFrame) -> DataFrame:
     """(area_id, y1, x1, y2, x2): the straight edges of all rings, joined by vertex_no and closed.
 

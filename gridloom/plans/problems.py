@@ -42,6 +42,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return near.unionByName(within.select(F.lit("within").alias("relation"), F.col("point_id").alias("left_id"), F.col("area_id").alias("right_id")))
 
 
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Points at exactly the same place, as membership."""
+    return spatial.co_located(spatial.current_locations(table(spark, d, "geometry_point")))
+
+
+def p2_class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The near pairs between the classes of p2_classes."""
+    return spatial.near_pairs(spatial.class_points(spatial.current_locations(table(spark, d, "geometry_point"))), NEAR_M)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     wide = widen.widen(table(spark, d, "staging_records"), table(spark, d, "attribute_types"))
     return wide.select("version", "id", F.explode("bad_attributes").alias("attribute"))
@@ -141,6 +151,8 @@ QUERIES = {
     "p1_records": p1_records,
     "p1_records_lines": p1_records_lines,
     "p2_found": p2_found,
+    "p2_classes": p2_classes,
+    "p2_class_pairs": p2_class_pairs,
     "p3_found": p3_found,
     "p3_wide": p3_wide,
     "p3_cells": p3_cells,
@@ -204,6 +216,12 @@ crossed AS (
 SELECT 'near' AS relation, a.id AS left_id, b.id AS right_id FROM located a JOIN located b ON a.id < b.id
 WHERE 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) <= 25
 UNION ALL SELECT 'within', id, area_id FROM crossed WHERE n % 2 = 1
+""",
+    "p2_classes": f"WITH {_LOCATED} SELECT id AS point_id, min(id) OVER (PARTITION BY lat, lon) AS class_id FROM located",
+    "p2_class_pairs": f"""
+WITH {_LOCATED}, c AS (SELECT min(id) AS id, lat, lon FROM located GROUP BY lat, lon)
+SELECT a.id AS left_id, b.id AS right_id FROM c a JOIN c b ON a.id < b.id
+WHERE 2 * 6371008.8 * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) <= 25
 """,
     "p3_found": f"WITH {_TYPED} SELECT version, id, attribute FROM judged GROUP BY ALL HAVING NOT bool_or(good)",
     "p3_cells": """

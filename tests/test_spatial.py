@@ -81,3 +81,19 @@ def test_empty_tables(spark):
 def test_distance(spark):
     one = spark.range(1).select(sp.great_circle_m(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0)).alias("m")).first().m
     assert one == pytest.approx(math.pi * sp.EARTH_M)
+
+
+def test_classes_and_their_pairs_say_what_all_pairs_say(spark):
+    rows = [(i, 50.0 + (i % 4) * 1e-4, 8.0) for i in range(40)] + [(100, 50.0, 8.5), (101, 0.0, 8.0), (102, -0.0, 8.0)]
+    points = spark.createDataFrame(rows, "point_id long, lat double, lon double")
+    of = {r.point_id: r.class_id for r in sp.co_located(points).collect()}
+    near = {(r.left_id, r.right_id) for r in sp.near_pairs(sp.class_points(points), 12.0).collect()}
+    said = {(a, b) for a in of for b in of if a < b and (of[a] == of[b] or tuple(sorted((of[a], of[b]))) in near)}
+    assert said == {(r.left_id, r.right_id) for r in sp.near_pairs(points, 12.0).collect()} and len(of) == len(rows)
+
+
+def test_radius_zero(spark):
+    points = spark.createDataFrame([(1, 50.0, 8.0), (2, 50.0, 8.0), (3, 50.0, 8.1)], "point_id long, lat double, lon double")
+    assert [(r.left_id, r.right_id) for r in sp.near_pairs(points, 0.0).collect()] == [(1, 2)]
+    with pytest.raises(ValueError, match="radius"):
+        sp.near_pairs(points, -1.0)
