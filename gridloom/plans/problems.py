@@ -201,7 +201,31 @@ judged AS (
   FROM refs r)
 """
 
+
+
+def _elements(field: str) -> str:
+    """SQL: the elements of a field of `node` as a list; an object is its element 0."""
+    v = f"json_extract(node, '$.{field}')"
+    return f"CASE json_type({v}) WHEN 'ARRAY' THEN json_extract({v}, '$[*]') WHEN 'OBJECT' THEN [{v}] ELSE CAST([] AS JSON[]) END"
+
+
+def _below(source: str, *fields: str) -> str:
+    """SQL: the objects in the fields of each node of `source`, with their paths."""
+    lists = {f: f"list_concat({_elements(f)}, {_elements(nested.ALSO[f])})" if f in nested.ALSO else _elements(f) for f in fields}
+    parts = " UNION ALL ".join(f"SELECT file_id, path, '{f}' AS f, {x} AS l FROM {source}" for f, x in lists.items())
+    return f"SELECT file_id, path AS parent_path, path || '.' || f || '[' || (i - 1) || ']' AS path, f, e AS node FROM (SELECT file_id, path, f, unnest(l) AS e, generate_subscripts(l, 1) AS i FROM ({parts})) WHERE json_type(e) = 'OBJECT'"
+
+
+_NODES = f"""
+root AS (SELECT DISTINCT file_id, '$' AS path, CAST(body AS JSON) AS node FROM model_file WHERE json_valid(body) AND json_type(body) = 'OBJECT'),
+top AS ({_below('root', *nested.FIELDS['file'])}), bus AS (SELECT * FROM top WHERE f = 'busbars'), bay AS (SELECT * FROM top WHERE f = 'bays'),
+section AS ({_below('bus', 'sections')}), inner_ AS ({_below('bay', 'equipments')}), owner AS (SELECT * FROM section UNION ALL SELECT * FROM inner_ UNION ALL SELECT * FROM top WHERE f IN ('equipments', 'segments')), satellite AS ({_below('owner', 'satellites')}),
+entry AS (SELECT file_id, path AS parent_path, path || '.attributes.' || k AS path FROM (SELECT file_id, path, unnest(json_keys(t)) AS k, unnest(json_extract(t, '$.*')) AS v FROM (SELECT file_id, path, json_extract(node, '$.attributes') AS t FROM satellite) WHERE json_type(t) = 'OBJECT') WHERE json_type(v) <> 'NULL'),
+node AS (SELECT DISTINCT file_id, parent_path, path FROM top UNION SELECT file_id, parent_path, path FROM section UNION SELECT file_id, parent_path, path FROM inner_ UNION SELECT file_id, parent_path, path FROM satellite UNION SELECT * FROM entry)
+"""
+
 ORACLES = {
+    "p4_found": f"WITH {_NODES} SELECT file_id, parent_path, path AS child_path FROM node",
     "p2_found": f"""
 WITH {_LOCATED},
 v AS (SELECT DISTINCT area_id, ring_no, vertex_no, lat, lon FROM supply_area),
