@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.scalar import attr_text, ext_id, json_text, mapped
 from gridloom.operators.components import components
+from gridloom.operators.skew import ordered
 from gridloom.operators.topology import GROUND, TRANSFORMER, first_per_key
 from gridloom.session import cut
 
@@ -172,10 +173,8 @@ def connection(m: Model) -> DataFrame:
 
 
 def connection_terminal_map(m: Model) -> DataFrame:
-    from gridloom.operators.staging import number_keys
-
-    t = number_keys(_members(m).select("node_id", "terminal_key"), ["node_id"], ["terminal_key"], "no")
-    return t.select(ext_id(F.concat("node_id", F.lit("~"), "terminal_key")).alias("id"), ext_id(F.col("node_id")).alias("connection_id"), ext_id(F.col("terminal_key")).alias("terminal_id"), (F.col("no") + 1).alias("sequence_number"))
+    t = ordered(_members(m).select("node_id", "terminal_key"), ["node_id"], ["terminal_key"], "no")
+    return t.select(ext_id(F.concat("node_id", F.lit("~"), "terminal_key")).alias("id"), ext_id(F.col("node_id")).alias("connection_id"), ext_id(F.col("terminal_key")).alias("terminal_id"), (F.col("no") + 1).cast("int").alias("sequence_number"))
 
 
 def line_path(m: Model) -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.session import cut
+
 #: Keys that are taken for hot at most (about 10 MB to broadcast); every key with more than 1 / HOT_KEYS of all rows is one of them.
 HOT_KEYS = 100_000
 #: Rows of a key that one task should get: never fewer than the first number, never more than the second.
@@ -92,3 +94,23 @@ def running(df: DataFrame, group: Sequence[str], order: Sequence[str], weight: s
     if weight:
         d = d.withColumn("_before", F.col("_ow") + F.col("_w"))
     return d.select(*df.columns, "_rank", *(["_before"] if weight else []))
+
+
+def ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "_rank") -> DataFrame:
+    """df with each row's rank from 0 in its group, in the given total order, however many rows a group has.
+
+    The rows are sorted by ranges of (group, order), so that a large group lies in several partitions, one behind the other;
+    a task ranks what a partition has of a group, and the offsets come from a small table of counts.
+    """
+    group, order = list(group), list(order)
+    # Written, because the number of a row's partition has to stay as it is for the counts and the ranks.
+    d = cut(df.repartitionByRange(*group, *order).withColumn("_p", F.spark_partition_id()))
+    earlier = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy(*group, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*(F.col(g).alias(f"_g_{g}") for g in group), F.col("_p").alias("_g__p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = Window.partitionBy(*group, "_p").orderBy(*order)
+    match = F.col("_p") == F.col("_g__p")
+    for g in group:
+        match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    d = d.withColumn("_i", F.row_number().over(own) - 1).join(counts, match)
+    return d.withColumn(name, F.col("_before") + F.col("_i")).select(*df.columns, name)

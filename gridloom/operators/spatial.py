@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.skew import salted_join
+from gridloom.session import cut
 
 #: Mean radius of the earth in metres.
 EARTH_M = 6_371_008.8
@@ -16,8 +17,8 @@ LEAST_CELL_M = 0.01
 #: Finest cell of the area grid in degrees; level n has cells of 2^n times that, an area is filed at the level where it covers few.
 AREA_CELL_DEG = 1 / 64
 AREA_CELLS = 4
-#: Border edges up to which the area side is broadcast (about 40 bytes an edge and strip); beyond it is joined by shuffle.
-BROADCAST_EDGES = 200_000
+#: Filed border edges (as often as they are filed, about 40 bytes each) up to which the area side is broadcast; beyond it is joined by shuffle.
+BROADCAST_EDGES = 1_000_000
 #: A cell is hot from this share of the points (so there are at most its inverse) and this many points on.
 HOT_SHARE, HOT_POINTS = 1 / 1000, 2000
 
@@ -136,12 +137,14 @@ def containing_areas(points: DataFrame, areas: DataFrame) -> DataFrame:
         .groupBy("area_id", "level", "iy")
         .agg(F.collect_list(F.struct("y1", "x1", "y2", "x2")).alias("edges"))
     )
-    filed = strips.join(box.select("area_id", "west", "east"), "area_id").withColumn("ix", F.explode(F.sequence(at(F.col("west"), level), at(F.col("east"), level)))).select("level", "iy", "ix", "area_id", "edges")
+    strips = cut(strips.join(box.select("area_id", "west", "east"), "area_id").select("area_id", "level", "iy", "edges", at(F.col("west"), level).alias("x1"), at(F.col("east"), level).alias("x2")))
+    n_filed = strips.agg(F.sum(F.size("edges") * (F.col("x2") - F.col("x1") + 1)).alias("n")).first().n
+    filed = strips.withColumn("ix", F.explode(F.sequence("x1", "x2"))).select("level", "iy", "ix", "area_id", "edges")
 
     levels = F.array(*(F.lit(r.level) for r in use))
     looks = points.withColumn("level", F.explode(levels)).withColumn("iy", at(F.col("lat"), level)).withColumn("ix", at(F.col("lon"), level))
     key = ["level", "iy", "ix"]
-    if sum(r.n for r in use) <= BROADCAST_EDGES:
+    if (n_filed or 0) <= BROADCAST_EDGES:
         met = looks.join(F.broadcast(filed), key)
     else:
         total = looks.count()

@@ -123,3 +123,12 @@ def test_filter_report(spark):
     targets = spark.createDataFrame([(f"k{i}", at(0), None) for i in range(50)] * 2, "key string, loaded_at timestamp, deleted_at timestamp")
     r = orphans.filter_report(refs, targets).first()
     assert (r.n_references, r.n_unknown) == (200, 150) and r.n_passed < 15
+
+
+def test_ranks_in_order_of_a_hot_group(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 10 == 0, F.lit(None).cast("string")).when(F.col("id") % 10 == 1, "b").otherwise("hot").alias("g"), F.format_string("%05d", (F.col("id") * 7919) % 3000).alias("k"))
+    rows = skew.ordered(df, ["g"], ["k"]).collect()
+    for g in ("hot", "b", None):
+        own = sorted(r.k for r in rows if r.g == g)
+        assert [r._rank for r in sorted((r for r in rows if r.g == g), key=lambda r: r.k)] == list(range(len(own))) and own
+    assert len(rows) == 3000 and skew.ordered(df.limit(0), ["g"], ["k"]).count() == 0
