@@ -89,14 +89,16 @@ def resolve(facts: DataFrame, wiring: DataFrame | None = None) -> Housing:
     category = of("PSRType").select("version", "id", F.col("name").alias("home"))
     named = _found(of("Substation"), "category", category, "category_name")
 
-    # Where a thing is that names one of these: a bay counts itself, a level its station.
-    places = cut(_union([station, house, good_level, good_bay.select("version", "id", F.col("id").alias("home"))]).groupBy("version", "id").agg(F.min("home").alias("home")))
+    # Where a thing is that names one of these: a bay counts itself, a level its station. Looked up once for all objects.
+    kinds = {"station": station, "house": house, "level": good_level, "bay": good_bay.select("version", "id", F.col("id").alias("home"))}
+    places = cut(_union([df.withColumn("kind", F.lit(k)) for k, df in kinds.items()]).groupBy("version", "id").agg(F.min(F.struct("home", "kind")).alias("home")))
+    named_holder = cut(_found(o.filter("holder IS NOT NULL"), "holder", places, "place").select("version", "id", "class", "name", "holder", "unit_of", F.col("place.home").alias("home"), F.col("place.kind").alias("kind")))
+    places = places.select("version", "id", "home.home")
 
     # Busbars.
-    section = _found(_found(of("BusbarSection"), "holder", good_level, "of_level"), "holder", station, "of_station")
-    base = bare_id(F.col("id"))
-    section = section.withColumn("busbar", F.when(F.col("of_level").isNotNull(), F.col("holder")).when(F.col("of_station").isNotNull(), F.concat(F.lit("busbar:"), base)))
-    section = cut(section.withColumn("parent_id", F.coalesce("of_level", "of_station")))
+    section = of("BusbarSection").select("version", "id", "class", "name").join(named_holder.select("version", "id", "holder", "home", "kind"), OBJECT, "left")
+    busbar_id = F.when(F.col("kind") == "level", F.col("holder")).when(F.col("kind") == "station", F.concat(F.lit("busbar:"), bare_id(F.col("id"))))
+    section = cut(section.withColumn("busbar", busbar_id).withColumnRenamed("home", "parent_id"))
     level_name = level.select("version", F.col("id").alias("busbar"), F.col("name").alias("level_name"))
     busbar = section.filter("busbar IS NOT NULL").groupBy("version", "busbar").agg(F.min("parent_id").alias("parent_id"), F.min(F.struct("id", "name"))["name"].alias("own_name"))
     busbar = busbar.join(level_name, ["version", "busbar"], "left")
@@ -108,11 +110,10 @@ def resolve(facts: DataFrame, wiring: DataFrame | None = None) -> Housing:
     node_chain = ends.join(chains, ["version", "equipment_id"]).groupBy("version", F.col("node").alias("id")).agg(F.min("chain_id").alias("home"))
 
     # Equipment by its own reference, and connections by their units'.
-    placed = _found(o.filter(F.col("holder").isNotNull()), "holder", places, "home")
-    lent = placed.filter("unit_of IS NOT NULL AND home IS NOT NULL").groupBy("version", F.col("unit_of").alias("id")).agg(F.min(F.struct("class", "id", "home"))["home"].alias("lent"))
+    lent = named_holder.filter("unit_of IS NOT NULL AND home IS NOT NULL").groupBy("version", F.col("unit_of").alias("id")).agg(F.min(F.struct("class", "id", "home"))["home"].alias("lent"))
     devices = o.filter(~F.col("class").isin(*NO_EQUIPMENT) & ~is_generating_unit(F.col("class")) & F.col("unit_of").isNull())
     devices = devices.filter((F.col("has_holder") == 1) | (F.col("class") == JUNCTION)).select("version", "id", "class", "holder")
-    devices = cut(_found(devices, "holder", places, "home").join(lent, ["version", "id"], "left"))
+    devices = cut(devices.join(named_holder.select("version", "id", "home"), OBJECT, "left").join(lent, OBJECT, "left"))
     lone = devices.filter("lent IS NULL AND holder IS NULL").select("version", F.col("id").alias("equipment_id"), "class")
 
     # The rest by their nodes: of the nodes in order the first that names a container.
