@@ -13,18 +13,23 @@ only the lines up to the next anchor.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column as SqlColumn
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A layout table is a schema, not data; more rows than this are a mistake and not taken to the driver.
 MAX_LAYOUT_ROWS = 100_000
+#: Lines over which a quote may stay open when files are read, and rows handed on at once.
+MAX_ROW_LINES, ROWS_PER_BATCH = 10_000, 5_000
 
 LONG = re.compile(r"-?[0-9]+")
 DOUBLE = re.compile(r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?")
@@ -301,3 +306,75 @@ def _typed(g: Grammar) -> list[SqlColumn]:
     kinds = {"long": "bigint", "double": "double", "boolean": "boolean", "string": "string"}
     names = [f"{c.name}_value" if c.name in ("source_file", "line") else c.name for c in g.columns]
     return [F.col("values")[i].cast(kinds[c.kind]).alias(n) for i, (c, n) in enumerate(zip(g.columns, names, strict=True))]
+
+
+def file_rows(spark: SparkSession, path: str, layout: str, header: bool = True, encoding: str = "utf-8") -> DataFrame:
+    """(source_file, line, byte_offset, layout, raw) of delimited files, as parse_rows takes them: a file or all files of a folder.
+
+    A file is read as a stream of lines by one task. A line whose quotes are open goes on with the lines after it until they
+    close; if they do not within MAX_ROW_LINES lines, the line stands alone (parse_rows names the error) and the next line
+    begins anew. Line breaks at the end of a row do not belong to it; a blank line is a row of empty text.
+    Bytes that the encoding does not know become replacement characters. path: a path or URI that all executors share.
+    """
+    uri = path if "://" in path else f"file://{path}"
+    files, base = fs.FileSystem.from_uri(uri)
+    found = files.get_file_info(base)
+    names = [f.path for f in files.get_file_info(fs.FileSelector(base, recursive=True)) if f.is_file] if found.type == fs.FileType.Directory else [base]
+    names = sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
+    parts = max(1, min(len(names), 10_000))
+
+    def rows(name: str) -> Iterator[tuple]:
+        system, _ = fs.FileSystem.from_uri(uri)
+        waiting: deque[tuple[int, int, bytes]] = deque()
+        with system.open_input_stream(name) as f:
+            lines = enumerate(_lines(f), 1)
+            at, ended = 0, False
+
+            def more() -> bool:
+                nonlocal at, ended
+                got = None if ended else next(lines, None)
+                ended = got is None
+                if got:
+                    waiting.append((got[0], at, got[1]))
+                    at += len(got[1])
+                return not ended
+
+            if header:
+                more()
+                waiting.clear()
+            while waiting or more():
+                n, quotes = 1, waiting[0][2].count(b'"')
+                while quotes % 2 and n < MAX_ROW_LINES and (n < len(waiting) or more()):
+                    quotes += waiting[n][2].count(b'"')
+                    n += 1
+                n = 1 if quotes % 2 else n
+                taken = [waiting.popleft() for _ in range(n)]
+                raw = b"".join(t[2] for t in taken).decode(encoding, "replace").rstrip("\r\n")
+                yield name, taken[0][0], taken[0][1], layout, raw
+
+    schema = pa.schema([("source_file", pa.string()), ("line", pa.int64()), ("byte_offset", pa.int64()), ("layout", pa.string()), ("raw", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                it = rows(name)
+                while part := list(itertools.islice(it, ROWS_PER_BATCH)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
+
+    listed = spark.createDataFrame([(n,) for n in names], "name string").repartition(parts)
+    return listed.mapInArrow(run, "source_file string, line bigint, byte_offset bigint, layout string, raw string")
+
+
+def _lines(f: pa.NativeFile) -> Iterator[bytes]:
+    """The lines of a stream with their ends; a very long line is held, nothing else."""
+    rest: list[bytes] = []
+    while block := f.read(1 << 20):
+        *whole, last = block.split(b"\n")
+        for w in whole:
+            rest.append(w + b"\n")
+            yield b"".join(rest)
+            rest.clear()
+        if last:
+            rest.append(last)
+    if rest:
+        yield b"".join(rest)

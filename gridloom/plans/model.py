@@ -33,15 +33,15 @@ def described(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_containers(spark: SparkSession, d: str) -> DataFrame:
-    return ct.resolve(described(spark, d)).container
+    return ct.resolve(cut(described(spark, d))).container
 
 
 def container_of_equipment(spark: SparkSession, d: str) -> DataFrame:
-    return ct.resolve(described(spark, d)).member
+    return ct.resolve(cut(described(spark, d))).member
 
 
 def container_anomalies(spark: SparkSession, d: str) -> DataFrame:
-    return ct.resolve(described(spark, d)).anomaly
+    return ct.resolve(cut(described(spark, d))).anomaly
 
 
 def document_containers(spark: SparkSession, d: str) -> DataFrame:

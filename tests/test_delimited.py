@@ -210,3 +210,23 @@ def test_broken_rows_without_line_stay_apart(spark):
     rows = spark.createDataFrame([("f", None, 5, "l", "x,y"), ("f", None, 9, "l", "z,y"), ("f", None, 9, "l", "z,y")], "source_file string, line long, byte_offset long, layout string, raw string")
     layouts = spark.createDataFrame([("l", 1, "a", "long", True, None, None, None, ","), ("l", 2, "b", "string", False, None, None, None, ",")], "layout string, column_no int, column_name string, column_type string, required boolean, min_value double, max_value double, allowed string, delimiter string")
     assert d.errors(d.parse_rows(rows, layouts)).count() == 2
+
+
+def test_rows_of_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(d, "ROWS_PER_BATCH", 2)
+    (tmp_path / "a.csv").write_bytes('n,t\n1,"two\nlines"\r\n\n2,"open\n3,ä\n'.encode() + b"4,\xff")
+    (tmp_path / "b.csv").write_text("n,t\n5,x\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "_skip.csv").write_text("n,t\n9,x\n")
+    got = {(r.source_file.rsplit("/", 1)[-1], r.line, r.byte_offset, r.raw) for r in d.file_rows(spark, str(tmp_path), "l").collect()}
+    assert got == {("a.csv", 2, 4, '1,"two\nlines"'), ("a.csv", 4, 19, ""), ("a.csv", 5, 20, '2,"open'), ("a.csv", 6, 28, "3,ä"), ("a.csv", 7, 33, "4,\ufffd"), ("b.csv", 2, 4, "5,x")}
+    layouts = spark.createDataFrame([("l", 1, "n", "long", True, None, None, None, ","), ("l", 2, "t", "string", False, None, None, None, ",")], "layout string, column_no int, column_name string, column_type string, required boolean, min_value double, max_value double, allowed string, delimiter string")
+    parsed = d.parse_rows(d.file_rows(spark, str(tmp_path), "l"), layouts)
+    assert {(r.n, r.t) for r in d.records(parsed, layouts, "l").collect()} == {(1, "two\nlines"), (3, "ä"), (4, "\ufffd"), (5, "x")} and {r.line for r in d.errors(parsed).collect()} == {4, 5}
+    assert d.file_rows(spark, str(tmp_path / "b.csv"), "l", header=False).count() == 2
+
+
+def test_a_quote_that_stays_open_in_a_long_file(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.csv").write_text('1,"never\n' + "2,b\n" * 30_000)
+    start = time.time()
+    assert d.file_rows(spark, str(tmp_path / "x.csv"), "l", header=False).count() == 30_001 and time.time() - start < 30
