@@ -262,7 +262,6 @@ def focus(results: DataFrame, ptdf: DataFrame, lodf: DataFrame, most: int = 10)
     (outages that put most flow on it); ranked by size, equals by name. Infinite and own factors are left out.
     """
     line = results.filter("loading_percent IS NOT NULL").groupBy("network").agg(F.min(F.struct((-F.col("loading_percent")).alias("l"), "branch_id"))["branch_id"].alias("line"))
-    line = F.broadcast(line)  # one row a network
     bus = ptdf.join(line, (ptdf["network"] == line["network"]) & (ptdf["branch_id"] == F.col("line"))).select(ptdf["network"], "line", F.lit("bus").alias("what"), F.col("bus_id").cast("string").alias("other"), "factor")
     finite = lodf.filter("factor IS NOT NULL AND branch_id <> outage_id")
     takes = finite.join(line, (finite["network"] == line["network"]) & (finite["outage_id"] == F.col("line"))).select(finite["network"], "line", F.lit("takes").alias("what"), F.col("branch_id").alias("other"), "factor")
